@@ -16,7 +16,10 @@ def _c(c: Column | str) -> Column:
 
 
 def _lit(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    """Column as is, a string as a column name, anything else as a literal."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 def nth_weekday(year, month, weekday: int, n: int) -> Column:
