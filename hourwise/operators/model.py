@@ -76,7 +76,7 @@ def fit_gbt_early_stop(train: DataFrame, valid: DataFrame, label: str, features:
     v = _cast_features(valid, features)
     for st in prepared:
         v = st.transform(v)
-    errors = full.gbt.evaluateEachIteration(v.select("features", F.col(label).alias("label")), "squared")
+    errors = full.gbt.evaluateEachIteration(v.select("features", label), "squared")
     best, best_err, since = 0, float("inf"), 0
     for i, e in enumerate(errors):
         if e < best_err:

@@ -30,7 +30,7 @@ def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Se
     """
     names = list(names or [_pname(p) for p in probs])
     g = list(group)
-    v = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    v = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if approx:
         qs = F.percentile_approx("_v", list(probs), accuracy)
         return v.groupBy(*g).agg(qs.alias("_qs")).select(*g, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -24,7 +25,11 @@ def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType,
     if fmt == "csv":
         rd = rd.option("header", header)
     stream = rd.load(source_dir)
-    deduped = stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
+    # Watermarks need TIMESTAMP; wall-clock UTC (TIMESTAMP_NTZ) maps 1:1 under the UTC session zone.
+    deduped = (stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
+               .withWatermark("_event_time", watermark)
+               .dropDuplicatesWithinWatermark(list(keys))
+               .drop("_event_time"))
     return (deduped.writeStream.format("parquet").option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(availableNow=True).start(target))
 
