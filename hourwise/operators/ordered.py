@@ -23,6 +23,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DataType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 DEFAULT_BUCKET_ROWS = 100_000
 _POS_BITS = 33  # monotonically_increasing_id: partition id above bit 33, position below
@@ -34,12 +36,45 @@ def _keys(key: str | Sequence[str] | None) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _key_default(dt: DataType) -> Column:
+    if isinstance(dt, StringType):
+        return F.lit("")
+    if isinstance(dt, NumericType):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, BooleanType):
+        return F.lit(False)
+    if isinstance(dt, DateType):
+        return F.lit("1970-01-01").cast(dt)
+    if isinstance(dt, (TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    return F.lit(None).cast(dt)
+
+
+def _norm_keys(df: DataFrame, keys: Sequence[str], prefix: str = "__k") -> tuple[DataFrame, list[str]]:
+    """Non-NULL stand-ins for possibly-NULL key columns (value with NULL replaced, plus a NULL indicator).
+
+    Joining and partitioning on these plain columns keeps NULL keys (a
+    null-safe join would do that too, but hash-partitions on rewritten
+    expressions, so a following window on the same keys would shuffle again).
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols: dict[str, Column] = {}
+    for i, k in enumerate(keys):
+        dt = types[k]
+        if isinstance(dt, (StringType, NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+            cols[f"{prefix}{i}v"] = F.coalesce(F.col(k), _key_default(dt))
+        else:
+            cols[f"{prefix}{i}v"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        cols[f"{prefix}{i}n"] = F.col(k).isNull()
+    return df.withColumns(cols), list(cols)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join on ``on`` treating NULL = NULL (series keys and time buckets may be NULL)."""
-    ren = {c: f"__r_{c}" for c in on}
-    r = right.withColumnsRenamed(ren)
-    cond = [left[c].eqNullSafe(r[ren[c]]) for c in on]
-    return left.join(r, cond, "inner").drop(*ren.values())
+    """Inner join on ``on`` treating NULL = NULL, via plain equality on normalised key columns."""
+    l2, names = _norm_keys(left, on)
+    r2, _ = _norm_keys(right, on)
+    r2 = r2.drop(*on)
+    return l2.join(r2, names, "inner").drop(*names)
 
 
 def time_bucket(ts: str, bucket_days: int = 1) -> Column:
@@ -62,22 +97,25 @@ def series_index(
 
     ``(ts, *tiebreak)`` must be unique within a series for a deterministic
     index.  ``count_col`` (optional) receives the series length.  The only
-    per-series window runs on the small table of bucket counts.
+    per-series window runs on the small table of bucket counts; the big side
+    is shuffled once, on (series, time bucket), and that shuffle serves both
+    the offset join and the row_number window.
     """
     keys = _keys(key)
-    tb = "_tb"
-    with_tb = df.withColumn(tb, time_bucket(ts, bucket_days))
-    counts = with_tb.groupBy(*keys, tb).agg(F.count(F.lit(1)).alias("_bc"))
-    wk = Window.partitionBy(*keys).orderBy(tb)
+    normed, nk = _norm_keys(df, keys)
+    # NULL times get the lowest bucket (they sort first, as in the window's ORDER BY).
+    with_tb = normed.withColumn("_tb", F.coalesce(time_bucket(ts, bucket_days), F.lit(-(2**62))))
+    part = [*nk, "_tb"]
+    counts = with_tb.groupBy(*part).agg(F.count(F.lit(1)).alias("_bc"))
+    wk = Window.partitionBy(*nk).orderBy("_tb")
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_bc").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
     if count_col:
-        offsets = offsets.withColumn(count_col, F.sum("_bc").over(Window.partitionBy(*keys)))
-    offsets = offsets.drop("_bc")
-    joined = _null_safe_join(with_tb, offsets, [*keys, tb])
-    wb = Window.partitionBy(*keys, tb).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
-    return joined.withColumn(index_col, F.col("_off") + F.row_number().over(wb) - 1).drop("_off", tb)
+        offsets = offsets.withColumn(count_col, F.sum("_bc").over(Window.partitionBy(*nk)))
+    joined = with_tb.join(offsets.drop("_bc"), part, "inner")
+    wb = Window.partitionBy(*part).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
+    return joined.withColumn(index_col, F.col("_off") + F.row_number().over(wb) - 1).drop("_off", *part)
 
 
 def ordered_columns(

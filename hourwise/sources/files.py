@@ -49,10 +49,13 @@ def write_month_partitions(df: DataFrame, path: str, ts: str, month_col: str = "
     """Write rows under ``month=yyyyMM`` partitions, replacing only the months present in ``df``.
 
     Dynamic partition overwrite makes a re-run of a month idempotent (an
-    append would duplicate it) and leaves other months untouched.
+    append would duplicate it) and leaves other months untouched.  The
+    ``rebalance`` hint lets AQE group rows by month into right-sized tasks:
+    few files per month, and a hot month is split rather than written by one
+    task.
     """
-    (with_month(df, ts, month_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(month_col).parquet(path))
+    (with_month(df, ts, month_col).hint("rebalance", month_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(path))
 
 
 def read_month_partitions(spark: SparkSession, path: str, months: Sequence[str] | None = None,
