@@ -259,6 +259,8 @@ FROM mo LEFT JOIN c ON mo.month_start = c.month_start""",
 WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59.999999'""",
     # projections / filters
     "flt_zone_eq": f"SELECT {EVENTS_COLS} FROM events WHERE event_type = 'click'",
+    "flt_asof_date": f"SELECT {EVENTS_COLS} FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'",
+    "str_incremental_ingest": f"SELECT {ORDERS_COLS} FROM orders",
     "flt_dropna": f"""SELECT {EVENTS_COLS} FROM (SELECT event_id, ts, user_id, event_type,
   CASE WHEN event_id % 20 = 0 THEN NULL ELSE value END AS value, props FROM events) WHERE value IS NOT NULL""",
     "prj_drop_rename": f"SELECT c_custkey, c_nationkey, {r6('c_acctbal')} AS balance, c_mktsegment AS segment FROM customer",

@@ -82,6 +82,26 @@ def src_time_range_scan(spark, sf):
 
 # --------------------------------------------------------------------------- projections and filters
 
+def flt_asof_date(spark, sf):
+    e = C.table(spark, sf, "events").withColumn("Date", F.to_date("ts"))
+    return C.rounded(clean.filter_as_of(e, "Date", "2024-01-20").drop("Date"))
+
+
+def str_incremental_ingest(spark, sf):
+    """X11: orders landed as two overlapping drops (up to 1997, then from 1997), ingested incrementally with
+    de-duplication inside the watermark: every order arrives exactly once."""
+    from ..streaming.ingest import run_once
+
+    o = C.table(spark, sf, "orders")
+    land, target, ck = (scratch_path(spark, n) for n in ("landing", "ingested", "ingest_ck"))
+    kw = dict(keys=["o_orderkey"], ts="o_orderdate", watermark="400 days", fmt="parquet")
+    o.filter(F.year("o_orderdate") <= 1997).write.mode("overwrite").parquet(f"{land}/drop=1")
+    run_once(spark, land + "/drop=*", o.schema, target, ck, **kw)
+    o.filter(F.year("o_orderdate") >= 1997).write.mode("overwrite").parquet(f"{land}/drop=2")
+    run_once(spark, land + "/drop=*", o.schema, target, ck, **kw)
+    return C.rounded(spark.read.parquet(target))
+
+
 def flt_zone_eq(spark, sf):
     return C.rounded(clean.filter_equals(C.table(spark, sf, "events"), "event_type", "click"))
 
