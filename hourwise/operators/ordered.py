@@ -69,11 +69,16 @@ def _norm_keys(df: DataFrame, keys: Sequence[str], prefix: str = "__k") -> tuple
     return df.withColumns(cols), list(cols)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join on ``on`` treating NULL = NULL, via plain equality on normalised key columns."""
+def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, broadcast_right: bool = False) -> DataFrame:
+    """Inner join on ``on`` treating NULL = NULL, via plain equality on normalised key columns.
+
+    ``broadcast_right`` only where the caller has a proven small bound on ``right``.
+    """
     l2, names = _norm_keys(left, on)
     r2, _ = _norm_keys(right, on)
     r2 = r2.drop(*on)
+    if broadcast_right:
+        r2 = F.broadcast(r2)
     return l2.join(r2, names, "inner").drop(*names)
 
 

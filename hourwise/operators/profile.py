@@ -56,13 +56,12 @@ def missing_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
     """A5: count, mean, std, min, 25/50/75 %, max per numeric column (exact quantiles by default)."""
     cols = list(columns or numeric_columns(df))
-    long = df.select(*[_q(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    base = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    qs = column_quantiles(df, cols, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], approx=approx)
-    return base.join(qs, "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    extra = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    qs = column_quantiles(df, cols, [0.25, 0.5, 0.75], ["q25", "q50", "q75"], approx=approx, extra=extra)
+    # a column with no values at all still gets its row (count 0)
+    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = allc.join(qs, "column", "left").withColumn("count", F.coalesce(F.col("count"), F.lit(0).cast("long")))
+    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -111,10 +110,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def moments(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
     """``(column, mean, std, median)`` of numeric columns."""
     cols = list(columns or numeric_columns(df))
-    long = df.select(*[_q(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    base = long.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    med = column_quantiles(df, cols, [0.5], ["median"], approx=approx)
-    return base.join(med, "column", "left")
+    med = column_quantiles(df, cols, [0.5], ["median"], approx=approx, extra={"mean": F.avg, "std": F.stddev_samp})
+    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return allc.join(med, "column", "left").select("column", "mean", "std", "median")
 
 
 def safe_corr(a, b):
@@ -125,22 +123,29 @@ def safe_corr(a, b):
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(x, y, r)`` for every ordered pair of numeric columns, all pairs in one aggregate."""
+    """``(x, y, r)`` for every ordered pair of numeric columns, pairwise-complete.
+
+    Each row is expanded into one ``(pair, a, b)`` record per pair where both
+    values are present, then a single grouped aggregate (3 functions) scores
+    all pairs: a compact, code-generated hash aggregate with a map-side partial
+    step, instead of one global aggregate carrying 3 x pairs buffers.
+    """
     cols = list(columns or numeric_columns(df))
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            aggs.append(safe_corr(_q(a).cast("double"), _q(b).cast("double")).alias(f"c{i}_{j}"))
-            pairs.append((i, j))
-    wide = df.agg(*aggs)
-    entries = []
-    for i, j in pairs:
-        entries.append(f"'{cols[i]}', '{cols[j]}', c{i}_{j}")
-        if i != j:
-            entries.append(f"'{cols[j]}', '{cols[i]}', c{i}_{j}")
-    return wide.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (x, y, r)")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    recs = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), _q(cols[i]).cast("double").alias("a"),
+                 _q(cols[j]).cast("double").alias("b"))
+        for i, j in pairs
+    ])
+    long = df.select(F.explode(recs).alias("p")).select("p.*").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    r = long.groupBy("i", "j").agg(
+        F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("r"))
+    # every pair listed (an all-missing pair has no records: r is NULL), mirrored to both orders
+    names = F.array(*[F.lit(c) for c in cols])
+    grid = df.sparkSession.createDataFrame(pairs, "i int, j int")
+    full = grid.join(r, ["i", "j"], "left")
+    both = full.unionByName(full.filter(F.col("i") != F.col("j")).select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    return both.select(names[F.col("i")].alias("x"), names[F.col("j")].alias("y"), "r")
 
 
 def time_span(df: DataFrame, ts: str, group: Sequence[str] = ()) -> DataFrame:

@@ -1,20 +1,28 @@
 """Exact quantiles with linear interpolation (pandas ``quantile`` / SQL ``percentile_cont``).
 
 Spark's exact ``percentile`` keeps every value of a group in one aggregation
-buffer; at scale that is one task holding a whole column.  Here the values are
-range-sorted once (a hot group spreads over many partitions), a dense rank is
-derived from per-partition counts, and only the <= 2 rows per probability that
-bracket each quantile position are kept and interpolated.
+buffer; at scale that is one task holding a whole column.  Two exact methods
+are offered instead:
+
+* ``histogram`` (default): count / min / max per group; an equal-width
+  histogram per group (at most ``bins`` rows per group, partial-aggregated);
+  a prefix sum over that small table locates the bucket holding each target
+  rank; only the rows of those buckets are ranked (a bucket holding a single
+  repeated value needs no ranking at all).  No full sort of the column.
+* ``sort``: one range-partitioned sort of all values (a hot group spreads over
+  many partitions) and a dense rank from per-partition counts.
+
+Both keep only the <= 2 values per probability that bracket each position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import sorted_index
+from .ordered import _null_safe_join, sorted_index
 
 
 def _pname(p: float) -> str:
@@ -22,32 +30,93 @@ def _pname(p: float) -> str:
 
 
 def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-                      names: Sequence[str] | None = None, *, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """One row per group with one column per probability; NULL values are ignored.
+                      names: Sequence[str] | None = None, *, approx: bool = False, accuracy: int = 10_000,
+                      method: str = "histogram", bins: int = 1 << 14, extra=None,
+                      groups_bound: int | None = None) -> DataFrame:
+    """One row per group with one column per probability; NULL and NaN values are ignored.
 
     ``approx=True`` uses ``percentile_approx`` (one pass, bounded memory) for
-    when an approximate answer is acceptable.
+    when an approximate answer is acceptable.  ``extra`` maps output names to
+    functions of the value column (e.g. ``F.avg``) computed in the same pass
+    as the group sizes, so a summary needs no separate scan.  ``groups_bound``
+    is a proven upper bound on the number of groups (e.g. the number of
+    profiled columns); when it is small, the per-group tables are broadcast so
+    the values are never shuffled for those joins.
     """
+    extra = dict(extra or {})
     names = list(names or [_pname(p) for p in probs])
     g = list(group)
     v = df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if approx:
         qs = F.percentile_approx("_v", list(probs), accuracy)
-        return v.groupBy(*g).agg(qs.alias("_qs")).select(*g, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])
-    idx = sorted_index(v, ["_v"], group=g, index_col="_k", count_col="_n")
-    pos = {n: F.lit(float(p)) * (F.col("_n") - 1) for n, p in zip(names, probs)}
-    keep = None
-    for n, ps in pos.items():
-        c = (F.col("_k") == F.floor(ps)) | (F.col("_k") == F.ceil(ps))
-        keep = c if keep is None else keep | c
-    kept = idx.filter(keep)
+        more = [fn(F.col("_v")).alias(k) for k, fn in extra.items()]
+        return v.groupBy(*g).agg(qs.alias("_qs"), *more).select(
+            *g, *extra, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])
+    whole = not g
+    if whole:  # one global group: a constant key whose one-row size table is broadcast (bound: 1 row)
+        v, g = v.withColumn("__all", F.lit(0)), ["__all"]
+    sizes = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+                              *[fn(F.col("_v")).alias(k) for k, fn in extra.items()])
+    small = whole or (groups_bound is not None and groups_bound <= 100_000)
+    if method == "sort":
+        picked = _ranked_by_sort(v, g, probs)
+    elif method == "histogram":
+        picked = _ranked_by_histogram(v, g, probs, bins, sizes, small)
+    else:
+        raise ValueError("method must be 'histogram' or 'sort'")
+    # picked: (group..., _p, _k, _val, _pos) for the two ranks around each position
     aggs = []
-    for n, ps in pos.items():
-        lo = F.max(F.when(F.col("_k") == F.floor(ps), F.col("_v")))
-        hi = F.max(F.when(F.col("_k") == F.ceil(ps), F.col("_v")))
-        frac = F.max(ps - F.floor(ps))
+    for i, n in enumerate(names):
+        pos = F.col("_pos")
+        mine = F.col("_p") == i
+        lo = F.max(F.when(mine & (F.col("_k") == F.floor(pos)), F.col("_val")))
+        hi = F.max(F.when(mine & (F.col("_k") == F.ceil(pos)), F.col("_val")))
+        frac = F.max(F.when(mine, pos - F.floor(pos)))
         aggs.append((lo + (hi - lo) * frac).alias(n))
-    return kept.groupBy(*g).agg(*aggs)
+    out = picked.groupBy(*g).agg(*aggs)
+    if extra:
+        out = _null_safe_join(out, sizes.select(*g, *extra), g, broadcast_right=small)
+    return out.drop("__all") if whole else out
+
+
+def _targets(sizes: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
+    """(group..., _n, _p, _pos, _k) for k in {floor(pos), ceil(pos)}, pos = p * (n - 1)."""
+    recs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        for k in (F.floor(pos), F.ceil(pos)):
+            recs.append(F.struct(F.lit(i).alias("_p"), pos.alias("_pos"), k.cast("long").alias("_k")))
+    t = sizes.select(*g, "_n", F.explode(F.array_distinct(F.array(*recs))).alias("_t"))
+    return t.select(*g, "_n", "_t._p", "_t._pos", "_t._k")
+
+
+def _ranked_by_sort(v: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
+    idx = sorted_index(v, ["_v"], group=g, index_col="_k", count_col="_n")
+    sizes = idx.select(*g, "_n").distinct()
+    tg = _targets(sizes, g, probs).drop("_n")
+    return _null_safe_join(idx.select(*g, "_k", F.col("_v").alias("_val")), tg, [*g, "_k"])
+
+
+def _ranked_by_histogram(v: DataFrame, g: list[str], probs: Sequence[float], bins: int, sizes: DataFrame,
+                         small: bool = False) -> DataFrame:
+    rng = sizes.select(*g, "_n", "_lo", "_hi")
+    width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    vb = _null_safe_join(v, rng.drop("_n"), g, broadcast_right=small).withColumn("_b", bucket.cast("long")).drop("_lo", "_hi")
+    hist = vb.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
+    w = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    # each target rank falls in exactly one bucket: equi-join on the group, then keep the bucket whose range holds it
+    chosen = _null_safe_join(hist, _targets(rng.select(*g, "_n"), g, probs), g).filter(
+        (F.col("_k") >= F.col("_before")) & (F.col("_k") < F.col("_before") + F.col("_c")))
+    flat = chosen.filter(F.col("_bmin") == F.col("_bmax")).select(*g, "_p", "_k", "_pos", F.col("_bmin").alias("_val"))
+    need = chosen.filter(F.col("_bmin") < F.col("_bmax")).select(*g, "_b", "_p", "_k", "_pos",
+                                                                   (F.col("_k") - F.col("_before")).alias("_r"))
+    wanted = need.select(*g, "_b").distinct()  # <= groups x 2 x probabilities rows
+    band = _null_safe_join(vb, wanted, [*g, "_b"], broadcast_right=small)
+    ranked = sorted_index(band, ["_v"], group=[*g, "_b"], index_col="_r")
+    exact = _null_safe_join(ranked.select(*g, "_b", "_r", F.col("_v").alias("_val")), need, [*g, "_b", "_r"])
+    return flat.unionByName(exact.select(*g, "_p", "_k", "_pos", "_val"))
 
 
 def unpivot_numeric(df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:
@@ -58,6 +127,7 @@ def unpivot_numeric(df: DataFrame, columns: Sequence[str], name: str = "column",
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str] | None = None,
-                     *, approx: bool = False) -> DataFrame:
-    """Quantiles of several columns with one sort: ``(column, q...)``."""
-    return grouped_quantiles(unpivot_numeric(df, columns), ["column"], "value", probs, names, approx=approx)
+                     *, approx: bool = False, extra=None) -> DataFrame:
+    """Quantiles of several columns at once: ``(column, [extra...], q...)``."""
+    return grouped_quantiles(unpivot_numeric(df, columns), ["column"], "value", probs, names, approx=approx, extra=extra,
+                             groups_bound=len(columns))

@@ -49,8 +49,10 @@ def build_features(
     """
     # The daily-lag table depends only on the load, so it is built from the
     # input rather than from the rolled frame (which would run the rolling twice).
+    # It has one row per series and day -- bounded by the days in the span, not
+    # by the raw volume -- so its one-step lag runs as a plain keyed window.
     lag = ordered.daily_lag_table(timefeatures.add_date_hour(load, ts), key, "Date", "Load", days=1,
-                                  out="1DayLag", bucket_rows=bucket_rows)
+                                  out="1DayLag", bucket_rows=None)
     df = joins.add_temperature(load, weather, ts, weather_ts, temp, check_unique=check_weather)
     df = clean.threshold_flags(df, "Temperature", hot, cold)
     df = timefeatures.add_date_hour(df, ts)

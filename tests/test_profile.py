@@ -82,3 +82,26 @@ def test_shape_and_schema(spark):
     assert profile.shape(df).first().asDict() == {"n_rows": 1, "n_cols": 3}
     sch = [(r["column"], r["type"], r["non_null"]) for r in profile.schema_table(df).orderBy("position").collect()]
     assert sch == [("a", "int", 1), ("b", "string", 1), ("c", "double", 0)]
+
+
+def test_quantile_methods_agree_with_pandas_on_ties_and_groups(spark):
+    import pytest as _pytest  # noqa: F401
+
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({
+        "g": rng.choice(["a", "b", "c", None], 3000),
+        "v": np.concatenate([rng.integers(0, 5, 1500).astype(float), rng.lognormal(size=1500)]),
+    })
+    pdf.loc[::53, "v"] = np.nan
+    pdf.loc[pdf["g"] == "c", "v"] = 7.0  # one group of a single repeated value
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    want = pdf.dropna(subset=["v"]).groupby("g", dropna=False)["v"].quantile(probs).unstack()
+    for method, bins in (("histogram", 16), ("histogram", 1 << 14), ("sort", None)):
+        kw = {"bins": bins} if bins else {}
+        got = quantiles.grouped_quantiles(df, ["g"], "v", probs, [f"p{i}" for i in range(len(probs))],
+                                          method=method, **kw).toPandas()
+        for _, row in got.iterrows():
+            key = row["g"] if row["g"] is not None else np.nan
+            exp = want.loc[key] if key == key else want[want.index.isna()].iloc[0]
+            assert np.allclose(row[[f"p{i}" for i in range(len(probs))]].astype(float).values, exp.values), (method, bins, key)
