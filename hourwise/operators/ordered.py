@@ -172,10 +172,18 @@ def sorted_index(
     many partitions; per-partition row counts (a table of at most
     partitions x groups-per-partition rows) give the offsets.  ``order`` must be
     a total order (add a unique tie-breaker) for the index to be deterministic.
+
+    The sorted rows are used twice (counts, then positions), and positions come
+    from the physical partition, so the sorted frame is checkpointed to the
+    shared checkpoint folder first: both uses read the same materialised rows,
+    whatever the planner or a recomputation after a lost executor would do.
     """
+    from ..session import checkpoint_root
+
     g = list(group)
+    checkpoint_root(df.sparkSession)
     s = df.orderBy(*[F.col(c) for c in g], *[F.col(c) if isinstance(c, str) else c for c in order])
-    s = s.withColumn("_mid", F.monotonically_increasing_id())
+    s = s.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     s = s.withColumn("_pid", F.shiftrightunsigned("_mid", _POS_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     )

@@ -114,7 +114,10 @@ def _ranked_by_histogram(v: DataFrame, g: list[str], probs: Sequence[float], bin
                                                                    (F.col("_k") - F.col("_before")).alias("_r"))
     wanted = need.select(*g, "_b").distinct()  # <= groups x 2 x probabilities rows
     band = _null_safe_join(vb, wanted, [*g, "_b"], broadcast_right=small)
-    ranked = sorted_index(band, ["_v"], group=[*g, "_b"], index_col="_r")
+    # A chosen bucket holds ~n/bins rows (a bucket of one repeated value was
+    # resolved above without ranking), so it is ranked by a window per bucket.
+    wr = Window.partitionBy(*g, "_b").orderBy("_v")
+    ranked = band.withColumn("_r", F.row_number().over(wr) - 1)
     exact = _null_safe_join(ranked.select(*g, "_b", "_r", F.col("_v").alias("_val")), need, [*g, "_b", "_r"])
     return flat.unionByName(exact.select(*g, "_p", "_k", "_pos", "_val"))
 

@@ -1,8 +1,12 @@
 """Seeded, exact-size samples and splits (M1, M2) that do not depend on partitioning.
 
-Rows are ranked by ``md5(id || ':' || seed)`` (ties by id) with a
-range-partitioned sort; the size comes from the same pass.  The same ordering
-can be computed by any SQL engine with md5, so the chosen rows are checkable.
+Rows are ranked by ``md5(id || ':' || seed)`` (ties by id).  The rank is
+computed without a global sort: the first five hex digits of the hash give
+2^20 ordered, uniformly filled buckets; counts per bucket and their prefix
+sum (a table of at most 2^20 rows, broadcast) give each bucket's offset, and
+``row_number`` inside the bucket gives the rest.  Every step is a
+deterministic function of the row values, so a recomputation yields the same
+rows.  The same ordering can be computed by any SQL engine with md5.
 """
 
 from __future__ import annotations
@@ -12,7 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import sorted_index
+from pyspark.sql import Window
+
+HASH_BUCKET_DIGITS = 5  # 16^5 = 2^20 buckets
 
 
 def hash_key(ids: Sequence[str], seed: int = 42) -> Column:
@@ -20,13 +26,28 @@ def hash_key(ids: Sequence[str], seed: int = 42) -> Column:
     return F.md5(F.concat(*parts, F.lit(f":{seed}")))
 
 
+def hash_rank(df: DataFrame, ids: Sequence[str], seed: int = 42, index_col: str = "_s", count_col: str = "_n") -> DataFrame:
+    """0-based rank of every row in ``(md5(ids:seed), ids)`` order, plus the row count."""
+    h = df.withColumn("_h", hash_key(ids, seed))
+    h = h.withColumn("_hb", F.conv(F.substring("_h", 1, HASH_BUCKET_DIGITS), 16, 10).cast("long"))
+    counts = h.groupBy("_hb").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.orderBy("_hb")  # one partition, but at most 2^20 rows
+    offsets = counts.select("_hb", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)).alias("_off"),
+                            F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                            .alias(count_col))
+    joined = h.join(F.broadcast(offsets), "_hb")
+    wb = Window.partitionBy("_hb").orderBy("_h", *ids)
+    return joined.withColumn(index_col, F.col("_off") + F.row_number().over(wb) - 1).drop("_h", "_hb", "_off")
+
+
 def hash_sample(df: DataFrame, ids: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
     """``round(fraction * n)`` rows (half to even), the same rows for any partitioning."""
-    idx = sorted_index(df.withColumn("_h", hash_key(ids, seed)), ["_h", *ids], index_col="_s", count_col="_n")
-    return idx.filter(F.col("_s") < F.bround(F.col("_n") * F.lit(fraction), 0)).drop("_h", "_s", "_n")
+    idx = hash_rank(df, ids, seed)
+    return idx.filter(F.col("_s") < F.bround(F.col("_n") * F.lit(fraction), 0)).drop("_s", "_n")
 
 
 def hash_split(df: DataFrame, ids: Sequence[str], test_fraction: float = 0.2, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Every row with ``out`` = true for the first ``ceil(test_fraction * n)`` rows in hash order."""
-    idx = sorted_index(df.withColumn("_h", hash_key(ids, seed)), ["_h", *ids], index_col="_s", count_col="_n")
-    return idx.withColumn(out, F.col("_s") < F.ceil(F.col("_n") * F.lit(test_fraction))).drop("_h", "_s", "_n")
+    idx = hash_rank(df, ids, seed)
+    return idx.withColumn(out, F.col("_s") < F.ceil(F.col("_n") * F.lit(test_fraction))).drop("_s", "_n")

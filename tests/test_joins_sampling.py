@@ -53,3 +53,18 @@ def test_hash_split_sizes(spark):
     df = spark.range(0, 1001).withColumnRenamed("id", "k")
     out = sampling.hash_split(df, ["k"], 0.2)
     assert out.filter("is_test").count() == 201 and out.count() == 1001
+
+
+def test_sample_split_and_index_survive_caching(spark):
+    """Regression: ranks must not depend on how a plan is (re)executed -- cached or recomputed."""
+    from hourwise.operators import ordered
+
+    df = spark.range(0, 5000).withColumnRenamed("id", "k").withColumn("v", F.rand(3))
+    split = sampling.hash_split(df, ["k"], 0.2)
+    plain = sorted(r["k"] for r in split.filter("NOT is_test").collect())
+    cached = split.filter("NOT is_test").persist()
+    assert sorted(r["k"] for r in cached.collect()) == plain and len(plain) == 4000
+    cached.unpersist()
+    idx = ordered.sorted_index(df, ["v", "k"], index_col="gi").persist()
+    assert sorted(r["gi"] for r in idx.collect()) == list(range(5000))
+    idx.unpersist()
