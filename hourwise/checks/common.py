@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..session import configure
+from ..session import checkpoint_root, configure
 from ..sources.tables import hourly_demand, read_table
 
 DIGITS = 6  # doubles are compared at 6 decimals: summation order moves the last bits
@@ -17,14 +17,27 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, sf, name)
 
 
-def hourly(spark: SparkSession, sf: str) -> DataFrame:
-    """The standard stand-in demand series: hourly mean of ``events.value`` per ``event_type``."""
-    return hourly_demand(table(spark, sf, "events"))
+def hourly(spark: SparkSession, sf: str, *, materialize: bool = True) -> DataFrame:
+    """The standard stand-in demand series: hourly mean of ``events.value`` per ``event_type``.
 
+    The operators read this table several times (bounds, grids, row-index
+    counts, joins), and column pruning gives each read a different plan, so
+    without materialising it every read would re-scan and re-aggregate the raw
+    events.  It is therefore checkpointed once (a reliable checkpoint in the
+    shared folder named by spark.checkpoint.dir): one scan of the raw table,
+    and the lineage below it is cut.
+    """
+    h = hourly_demand(table(spark, sf, "events"))
+    if materialize:
+        checkpoint_root(spark)
+        h = h.checkpoint(eager=True)
+    return h
 
-def weather(spark: SparkSession, sf: str) -> DataFrame:
+
+def weather(spark: SparkSession, sf: str, hourly_table: DataFrame | None = None) -> DataFrame:
     """Stand-in hourly weather: the 'view' series' hourly mean, named ``temp``."""
-    return hourly(spark, sf).filter(F.col("series") == "view").select("Timestamp", F.col("Load").alias("temp"))
+    h = hourly_table if hourly_table is not None else hourly(spark, sf)
+    return h.filter(F.col("series") == "view").select("Timestamp", F.col("Load").alias("temp"))
 
 
 def calendar_orders(spark: SparkSession, sf: str) -> DataFrame:

@@ -27,8 +27,9 @@ KEY = "series"
 TS = "Timestamp"
 
 
-def _h(spark, sf):
-    return C.hourly(spark, sf)
+def _h(spark, sf, *, reused: bool = True):
+    """The hourly series; materialised once when the query reads it more than once."""
+    return C.hourly(spark, sf, materialize=reused)
 
 
 # --------------------------------------------------------------------------- sources and sinks
@@ -127,7 +128,7 @@ def prj_numeric_cols(spark, sf):
 
 
 def prj_threshold_flags(spark, sf):
-    return C.rounded(clean.threshold_flags(C.weather(spark, sf), "temp", 20.0, 9.0))
+    return C.rounded(clean.threshold_flags(C.weather(spark, sf, C.hourly(spark, sf, materialize=False)), "temp", 20.0, 9.0))
 
 
 def prj_mask_leaky(spark, sf):
@@ -186,7 +187,7 @@ def ts_numeric_date(spark, sf):
 
 
 def ts_cyclical(spark, sf):
-    return C.rounded(timefeatures.add_cyclical(_h(spark, sf).drop("Load"), TS))
+    return C.rounded(timefeatures.add_cyclical(_h(spark, sf, reused=False).drop("Load"), TS))
 
 
 # --------------------------------------------------------------------------- calendar
@@ -241,7 +242,8 @@ def pipe_calendar_features(spark, sf):
 # --------------------------------------------------------------------------- joins, gaps, sets
 
 def join_left_temperature(spark, sf):
-    return C.rounded(joins.add_temperature(_h(spark, sf), C.weather(spark, sf), TS, TS, "temp"))
+    h = _h(spark, sf)
+    return C.rounded(joins.add_temperature(h, C.weather(spark, sf, h), TS, TS, "temp"))
 
 
 def dq_missing_hours(spark, sf):
@@ -372,11 +374,11 @@ def win_rolling_std(spark, sf):
 
 
 def sort_series(spark, sf):
-    return C.rounded(_h(spark, sf).orderBy(KEY, TS))
+    return C.rounded(_h(spark, sf, reused=False).orderBy(KEY, TS))
 
 
 def topk_first_n(spark, sf):
-    return C.rounded(_h(spark, sf).orderBy(KEY, TS).limit(10))
+    return C.rounded(_h(spark, sf, reused=False).orderBy(KEY, TS).limit(10))
 
 
 # --------------------------------------------------------------------------- samples, metrics, models
@@ -405,7 +407,8 @@ def ml_walk_forward(spark, sf):
 
 
 def _features(spark, sf):
-    return features.build_features(_h(spark, sf), C.weather(spark, sf))
+    h = _h(spark, sf)
+    return features.build_features(h, C.weather(spark, sf, h))
 
 
 def ml_gbt_random_split(spark, sf):
@@ -431,7 +434,8 @@ def pipe_forecast_asof(spark, sf):
 
 def pipe_features(spark, sf):
     """The full feature table for every hourly series."""
-    return C.rounded(features.build_features(_h(spark, sf), C.weather(spark, sf)))
+    h = _h(spark, sf)
+    return C.rounded(features.build_features(h, C.weather(spark, sf, h)))
 
 
 # --------------------------------------------------------------------------- gap filling, exploration, monitoring
@@ -449,11 +453,11 @@ def dq_outliers_iqr(spark, sf):
 
 
 def eda_seasonality(spark, sf):
-    return C.rounded(eda.seasonality(_h(spark, sf), KEY, TS, "Load"))
+    return C.rounded(eda.seasonality(_h(spark, sf, reused=False), KEY, TS, "Load"))
 
 
 def eda_trend(spark, sf):
-    return C.rounded(eda.trend(_h(spark, sf), KEY, TS, "Load"), 4)
+    return C.rounded(eda.trend(_h(spark, sf, reused=False), KEY, TS, "Load"), 4)
 
 
 def eda_autocorr(spark, sf):
@@ -465,8 +469,9 @@ def mon_drift(spark, sf):
 
 
 def ml_threshold_search(spark, sf):
-    load = _h(spark, sf).filter(F.col(KEY) == "purchase").select(TS, "Load")
-    both = joins.add_temperature(load, C.weather(spark, sf), TS, TS, "temp")
+    h = _h(spark, sf)
+    load = h.filter(F.col(KEY) == "purchase").select(TS, "Load")
+    both = joins.add_temperature(load, C.weather(spark, sf, h), TS, TS, "temp")
     return C.rounded(thresholds.threshold_search(both, "Temperature", "Load", 1.0), 3)
 
 
