@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, lang_id, mixing, pii, token_counts, url_filter
+from . import chat, decontaminate, lang_id, mixing, near_dup, pii, token_counts, url_filter
 
 QUERIES = {
     "op1_language_id": lang_id.op1_language_id,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_near_dedup": near_dup.op10_near_dedup,
 }
 
 ORACLES = {
@@ -19,4 +20,5 @@ ORACLES = {
     "op4_chat_format": chat.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
+    "op10_near_dedup": near_dup.ORACLE,
 }
