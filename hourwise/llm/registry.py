@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, lang_id, mixing, near_dup, pii, token_counts, url_filter
+from . import ann, chat, decontaminate, lang_id, mixing, near_dup, pii, token_counts, url_filter
 
 QUERIES = {
     "op1_language_id": lang_id.op1_language_id,
+    "op2_nearest_neighbours": ann.op2_nearest_neighbours,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_chat_format": chat.op4_chat_format,
     "op5_token_counts": token_counts.op5_token_counts,
