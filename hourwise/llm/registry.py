@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, decontaminate, lang_id, mixing, near_dup, pii, token_counts, url_filter
+from . import ann, chat, decontaminate, lang_id, mixing, near_dup, pii, substring, token_counts, url_filter
 
 QUERIES = {
     "op1_language_id": lang_id.op1_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_chat_format": chat.op4_chat_format,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_substring_dedup": substring.op6_substring_dedup,
     "op7_pii": pii.op7_pii,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_mix_sources": mixing.op9_mix_sources,
