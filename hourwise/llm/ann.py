@@ -147,7 +147,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
 
     def best(key, queries_: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(queries_) or not len(own):
-            return pd.DataFrame({"h": [], "first": [], "ids": [], "scores": []})
+            return queries_[["h", "first"]].iloc[:0].assign(ids=pd.Series(dtype=object), scores=pd.Series(dtype=object))
         x, y = np.stack(queries_["_w"].to_numpy()), np.stack(own["v"].to_numpy())
         ids = own["ids"].to_numpy()
         out_ids, out_scores = [], []

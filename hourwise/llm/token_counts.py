@@ -135,6 +135,7 @@ def count_tokens(docs: DataFrame, fields: tuple[str, ...] = ("source", "lang", "
     own = [F.col(f"`{c}`").cast("string").alias(f"_f{i}") for i, c in enumerate(fields)]
     given = [F.col(f"`{sections}`").alias("_sections")] if sections else []
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *own, *given)
+    has_sections = bool(given)
     schema = row_and(src, "n_tokens long, tokens array<long>, n_crossing long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +143,7 @@ def count_tokens(docs: DataFrame, fields: tuple[str, ...] = ("source", "lang", "
             ready.append(Lengths(sent.value))
         for b in batches:
             columns = [[x or "" for x in b.column(f"_f{i}").to_pylist()] for i in range(len(fields))]
-            marked = b.column("_sections").to_pylist() if given else None
+            marked = b.column("_sections").to_pylist() if has_sections else None
             n_tokens, tokens, crossing = [], [], []
             for r, values in enumerate(zip(*columns)):
                 text = separator.join(values)
