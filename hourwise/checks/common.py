@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..session import checkpoint_root, configure
+from ..session import configure, materialized
 from ..sources.tables import hourly_demand, read_table
 
 DIGITS = 6  # doubles are compared at 6 decimals: summation order moves the last bits
@@ -23,14 +23,13 @@ def hourly(spark: SparkSession, sf: str, *, materialize: bool = True) -> DataFra
     The operators read this table several times (bounds, grids, row-index
     counts, joins), and column pruning gives each read a different plan, so
     without materialising it every read would re-scan and re-aggregate the raw
-    events.  It is therefore checkpointed once (a reliable checkpoint in the
-    shared folder named by spark.checkpoint.dir): one scan of the raw table,
-    and the lineage below it is cut.
+    events.  It is therefore written once as Parquet (in the shared folder
+    named by spark.checkpoint.dir) and read back: one scan of the raw table,
+    the lineage below it is cut, and later reads prune columns and push filters.
     """
     h = hourly_demand(table(spark, sf, "events"))
     if materialize:
-        checkpoint_root(spark)
-        h = h.checkpoint(eager=True)
+        h = materialized(h, "hourly")
     return h
 
 

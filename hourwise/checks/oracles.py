@@ -225,21 +225,21 @@ u AS (SELECT o_orderkey, l, label, l + to_hours(CASE
         WHEN l >= s + INTERVAL 3 HOUR AND l < e + INTERVAL 1 HOUR THEN 4 ELSE 5 END) AS utc FROM d)"""
 
 _THRESH = """w AS (SELECT "Timestamp", "Load" AS "Temperature" FROM h WHERE series = 'view'),
-d AS (SELECT p."Load" AS y, w."Temperature" AS t FROM h p LEFT JOIN w USING ("Timestamp")
-      WHERE p.series = 'purchase' AND w."Temperature" IS NOT NULL AND p."Load" IS NOT NULL),
-tot AS (SELECT count(*) AS "N", sum(y) AS "S", sum(y * y) AS "Q" FROM d),
+d AS (SELECT p.series, p."Load" AS y, w."Temperature" AS t FROM h p LEFT JOIN w USING ("Timestamp")
+      WHERE w."Temperature" IS NOT NULL AND p."Load" IS NOT NULL),
+tot AS (SELECT series, count(*) AS "N", sum(y) AS "S", sum(y * y) AS "Q" FROM d GROUP BY series),
 {side}"""
 
 
 def _thresh_side(name: str, bexpr: str, order: str) -> str:
-    return f"""{name}b AS (SELECT CAST({bexpr} AS BIGINT) AS b, count(*) AS n, sum(y) AS s, sum(y * y) AS qq FROM d GROUP BY 1),
-{name}c AS (SELECT b, sum(n) OVER (ORDER BY b {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n1,
-                 sum(s) OVER (ORDER BY b {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s1,
-                 sum(qq) OVER (ORDER BY b {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS q1 FROM {name}b),
-{name}s AS (SELECT '{name}' AS flag, CAST(b AS DOUBLE) AS threshold,
+    return f"""{name}b AS (SELECT series, CAST({bexpr} AS BIGINT) AS b, count(*) AS n, sum(y) AS s, sum(y * y) AS qq FROM d GROUP BY 1, 2),
+{name}c AS (SELECT series, b, sum(n) OVER (PARTITION BY series ORDER BY b {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n1,
+                 sum(s) OVER (PARTITION BY series ORDER BY b {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s1,
+                 sum(qq) OVER (PARTITION BY series ORDER BY b {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS q1 FROM {name}b),
+{name}s AS (SELECT series, '{name}' AS flag, CAST(b AS DOUBLE) AS threshold,
     ("Q" - "S" * "S" / "N") - (q1 - s1 * s1 / n1)
     - CASE WHEN "N" - n1 > 0 THEN ("Q" - q1) - ("S" - s1) * ("S" - s1) / ("N" - n1) ELSE 0 END AS gain,
-    CAST(n1 AS BIGINT) AS n_flagged FROM {name}c, tot)"""
+    CAST(n1 AS BIGINT) AS n_flagged FROM {name}c JOIN tot USING (series))"""
 
 
 ORACLES.update({
@@ -448,7 +448,46 @@ SELECT per.series, per.period, per.n, {r6('mean', 4)} AS mean, {r6('std', 4)} AS
   {r6('psi.psi', 4)} AS psi FROM per JOIN psi ON per.series = psi.series AND per.period = psi.period""",
     "ml_threshold_search": f"WITH {H}, " + _THRESH.format(side=_thresh_side("hot", "ceil(t / 1.0) - 1", "DESC") + ",\n"
                                                           + _thresh_side("cold", "floor(t / 1.0) + 1", "ASC")) + f"""
-SELECT flag, threshold, {r6('gain', 3)} AS gain, n_flagged FROM (
-  SELECT *, row_number() OVER (PARTITION BY flag ORDER BY gain DESC, threshold ASC) AS rk
+SELECT series, flag, threshold, {r6('gain', 3)} AS gain, n_flagged FROM (
+  SELECT *, row_number() OVER (PARTITION BY series, flag ORDER BY gain DESC, threshold ASC) AS rk
   FROM (SELECT * FROM hots UNION ALL SELECT * FROM colds)) WHERE rk = 1""",
 })
+
+# Feature SQL over another hourly table: rows without a load (03:00 UTC) are gone before the features are built.
+_RAW_H = H.replace("h AS (", "h0 AS (", 1) + """,
+h AS (SELECT * FROM h0 WHERE hour("Timestamp") <> 3)"""
+_RAW_FEATURES = FEATURES_SQL.replace(H, _RAW_H).replace("FROM h WHERE series = 'view'", "FROM h0 WHERE series = 'view'")
+
+# The as-of split: target 7 rows ahead, dates up to 2024-01-25, first 80 % of each series train, their last 10 % validate.
+_SPLIT = f"""WITH {H},
+t AS (SELECT *, lead("Load", 7) OVER (PARTITION BY series ORDER BY "Timestamp") AS target FROM h),
+a AS (SELECT series, "Timestamp" FROM t WHERE target IS NOT NULL AND CAST("Timestamp" AS DATE) <= DATE '2024-01-25'),
+n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY "Timestamp") - 1 AS i, count(*) OVER (PARTITION BY series) AS n FROM a),
+p AS (SELECT series, "Timestamp", CASE WHEN i >= floor(n * 0.8) THEN 'test' WHEN i >= floor(floor(n * 0.8) * CAST(0.9 AS DOUBLE)) THEN 'valid' ELSE 'train' END AS part FROM n)
+SELECT part, count(*) AS n, min(CAST("Timestamp" AS DATE)) AS first_date, max(CAST("Timestamp" AS DATE)) AS last_date,
+  14 AS n_features FROM p GROUP BY part"""
+
+_NULL_KEY = """h AS (SELECT CASE WHEN event_type <> 'view' THEN event_type END AS series, date_trunc('hour', ts) AS "Timestamp",
+  avg(value) AS "Load" FROM events GROUP BY 1, 2)"""
+
+_REFIT = """s AS (SELECT series, isodow("Timestamp") AS wd, hour("Timestamp") AS hr, CAST("Timestamp" AS DATE) AS fold, "Timestamp", "Load" FROM h),
+o AS (SELECT series, min(fold) AS first_fold FROM s GROUP BY 1),
+f AS (SELECT s.series, s.fold, s."Load", (SELECT avg(p."Load") FROM s p WHERE p.series = s.series AND p.wd = s.wd AND p.hr = s.hr AND p.fold < s.fold) AS forecast
+  FROM s JOIN o USING (series) WHERE s.fold >= o.first_fold + 7) """
+
+ORACLES.update({
+    "pipe_features_raw": _RAW_FEATURES,
+    "fcst_split_report": _SPLIT,
+    "ml_walk_forward_refit": f"WITH {H}, {_REFIT}" + _metrics("f", "series, fold"),
+    "smp_split_null_ids": """SELECT event_id, event_type, CASE WHEN event_id % 10 <> 0 THEN event_id END AS maybe_id, rn < ceil(n * 0.2) AS is_test FROM (
+  SELECT event_id, event_type, row_number() OVER (ORDER BY md5(CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS VARCHAR) ELSE chr(92) || 'N' END
+    || ':' || CAST(event_id AS VARCHAR) || ':42'), event_id) - 1 AS rn, count(*) OVER () AS n FROM events)""",
+    "dq_missing_hours_null_key": f"WITH {_NULL_KEY}, " + GRID.replace("h.series = g.series", "h.series IS NOT DISTINCT FROM g.series")
+                                 + ' SELECT series, "Timestamp" FROM m',
+    "ml_seasonal_naive_null_key": f"WITH {_NULL_KEY}, " + SNAIVE.replace("p.series = h.series", "p.series IS NOT DISTINCT FROM h.series")
+                                  + f""" SELECT series, "Timestamp", {r6(q("Load"))} AS "Load", {r6("forecast")} AS forecast FROM f""",
+    "rel_category_average": ORACLES["agg_category_mean"],
+    "rel_one_hot": "SELECT count(*) FILTER (WHERE quality = 1) AS n_yes, count(*) FILTER (WHERE quality = 0) AS n_no FROM labels",
+    "rel_one_hot_avg": ORACLES["agg_cond_mean"],
+    "rel_scatter": f"SELECT {r6('l_quantity')} AS l_quantity, {r6('l_extendedprice')} AS l_extendedprice FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL",
+})

@@ -89,18 +89,18 @@ def flt_asof_date(spark, sf):
 
 
 def str_incremental_ingest(spark, sf):
-    """X11: orders landed as two overlapping drops (up to 1997, then from 1997), ingested incrementally with
-    de-duplication inside the watermark: every order arrives exactly once."""
+    """X11: orders landed as two overlapping drops (from 1997, then the late ones up to 1997), ingested incrementally:
+    every order arrives exactly once, however late."""
     from ..streaming.ingest import run_once
 
     o = C.table(spark, sf, "orders")
     land, target, ck = (scratch_path(spark, n) for n in ("landing", "ingested", "ingest_ck"))
-    kw = dict(keys=["o_orderkey"], ts="o_orderdate", watermark="400 days", fmt="parquet")
-    o.filter(F.year("o_orderdate") <= 1997).write.mode("overwrite").parquet(f"{land}/drop=1")
+    kw = dict(keys=["o_orderkey"], ts="o_orderdate", fmt="parquet")
+    o.filter(F.year("o_orderdate") >= 1997).write.mode("overwrite").parquet(f"{land}/drop=1")
     run_once(spark, land + "/drop=*", o.schema, target, ck, **kw)
-    o.filter(F.year("o_orderdate") >= 1997).write.mode("overwrite").parquet(f"{land}/drop=2")
+    o.filter(F.year("o_orderdate") <= 1997).write.mode("overwrite").parquet(f"{land}/drop=2")
     run_once(spark, land + "/drop=*", o.schema, target, ck, **kw)
-    return C.rounded(spark.read.parquet(target))
+    return C.rounded(spark.read.parquet(target).drop("month"))
 
 
 def flt_zone_eq(spark, sf):
@@ -140,12 +140,13 @@ def prj_mask_leaky(spark, sf):
 def prj_cast(spark, sf):
     o = C.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
     o = o.withColumns({
-        "order_date": F.col("o_orderdate").cast("date"),
+        "order_date": F.col("o_orderdate"),
         "order_text": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
-        "is_finished": (F.col("o_orderstatus") == "F").cast("int"),
-        "price_cents": F.round(F.col("o_totalprice") * 100).cast("long"),
+        "is_finished": F.col("o_orderstatus") == "F",
+        "price_cents": F.round(F.col("o_totalprice") * 100),
     })
-    o = o.withColumn("order_ts", F.to_timestamp_ntz("order_text", F.lit("yyyy-MM-dd HH:mm:ss")))
+    o = o.withColumn("order_ts", F.col("order_text"))
+    o = clean.cast_columns(o, {"order_date": "date", "is_finished": "int", "price_cents": "long", "order_ts": "timestamp_ntz"})
     return o.select("o_orderkey", "order_date", "order_text", "order_ts", "is_finished", "price_cents")
 
 
@@ -406,6 +407,62 @@ def ml_walk_forward(spark, sf):
     return C.rounded(metrics.walk_forward_folds(f, KEY, TS, "Load", "forecast", "day", 1), 4)
 
 
+def ml_walk_forward_refit(spark, sf):
+    """X9 with a refit before every fold: the profile model (mean by weekday and hour) of all earlier days."""
+    return C.rounded(metrics.walk_forward_refit(_h(spark, sf), KEY, TS, "Load", horizon_days=1), 4)
+
+
+def smp_split_null_ids(spark, sf):
+    """M2 with missing ids (every 10th event's): every row is kept and ranked."""
+    e = C.table(spark, sf, "events").select("event_id", "event_type", F.when(F.col("event_id") % 10 != 0, F.col("event_id")).alias("maybe_id"))
+    return sampling.hash_split(e, ["maybe_id", "event_id"], 0.2, 42, "is_test")
+
+
+def dq_missing_hours_null_key(spark, sf):
+    """J5 on a table in which one series has no key: it is a series like the others."""
+    h = _h(spark, sf).withColumn(KEY, F.when(F.col(KEY) != "view", F.col(KEY)))
+    return joins.missing_hours(h, [KEY], TS)
+
+
+def ml_seasonal_naive_null_key(spark, sf):
+    h = _h(spark, sf).withColumn(KEY, F.when(F.col(KEY) != "view", F.col(KEY)))
+    return C.rounded(metrics.seasonal_naive(h, KEY, TS, "Load", 24))
+
+
+def fcst_split_report(spark, sf):
+    """M7's data path: rows and date spans of the as-of split, and its number of features."""
+    return forecast.split_report(_features(spark, sf), "2024-01-25")
+
+
+def rel_category_average(spark, sf):
+    """the report by name, one key per kind."""
+    o = timefeatures.add_time_features(C.calendar_orders(spark, sf).select("Date", F.col("o_totalprice").alias("Load")))
+    return C.rounded(profile.check_relevance(o, "Day", "Load", "categoryAverage"), 4)
+
+
+def rel_one_hot(spark, sf):
+    return profile.check_relevance(C.table(spark, sf, "labels"), "quality", None, "oneHot")
+
+
+def rel_one_hot_avg(spark, sf):
+    docs = C.table(spark, sf, "documents").select("doc_id", "n_chars")
+    both = docs.join(C.table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    return C.rounded(profile.check_relevance(both, "quality", "n_chars", "oneHotAvg"))
+
+
+def rel_scatter(spark, sf):
+    return C.rounded(profile.check_relevance(C.table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", "scatterPlot"))
+
+
+def pipe_features_raw(spark, sf):
+    """E1 from landed rows: labelled local wall time, zone name, missing loads -> UTC -> features."""
+    h = _h(spark, sf)
+    est = F.col(TS) - F.make_interval(hours=F.lit(5))  # January to March: Eastern standard time
+    raw = h.select(F.date_format(est, "MM/dd/yyyy HH:mm:ss").alias("Time Stamp"), F.lit("EST").alias("Time Zone"), F.col(KEY).alias("Name"),
+                   F.lit("61757").alias("PTID"), F.when(F.hour(TS) != 3, F.col("Load")).alias("Integrated Load"))
+    return C.rounded(features.build_features_from_raw(raw, C.weather(spark, sf, h)).withColumnRenamed("Name", KEY))
+
+
 def _features(spark, sf):
     h = _h(spark, sf)
     return features.build_features(h, C.weather(spark, sf, h))
@@ -470,9 +527,8 @@ def mon_drift(spark, sf):
 
 def ml_threshold_search(spark, sf):
     h = _h(spark, sf)
-    load = h.filter(F.col(KEY) == "purchase").select(TS, "Load")
-    both = joins.add_temperature(load, C.weather(spark, sf, h), TS, TS, "temp")
-    return C.rounded(thresholds.threshold_search(both, "Temperature", "Load", 1.0), 3)
+    both = joins.add_temperature(h, C.weather(spark, sf, h), TS, TS, "temp")
+    return C.rounded(thresholds.threshold_search(both, "Temperature", "Load", 1.0, keys=[KEY]), 3)
 
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in list(globals().items())

@@ -70,12 +70,25 @@ def _parts(d: Column):
     return F.month(d), F.dayofmonth(d), F.weekday(d), F.year(d)
 
 
+# FIXED VALUES: first year in which a federal holiday fell by the rule used here.
+FIRST_YEARS = {
+    "martinLutherKingJrDay": 1986,
+    "washingtonsBirthday": 1971,
+    "memorialDay": 1971,
+    "juneteenthNationalIndependenceDay": 2021,
+    "laborDay": 1894,
+    "columbusDay": 1971,
+    "thanksgivingDay": 1942,
+}
+
+
 def federal_holiday_flags(date: Column | str) -> dict[str, Column]:
     """Thirteen US federal holiday flags (int 0/1) by public rule.
 
     Observed days: a holiday on Saturday is observed the Friday before, on
     Sunday the Monday after.  Only New Year's Day and Veterans Day carry an
-    "observed" flag; other observed days set no flag.  Juneteenth from 2021.
+    "observed" flag; other observed days set no flag.  A rule holds from its
+    first year (FIRST_YEARS); before it the flag is 0.
     """
     d = _c(date)
     m, dd, wd, y = _parts(d)
@@ -86,16 +99,16 @@ def federal_holiday_flags(date: Column | str) -> dict[str, Column]:
     return {
         "newYearsDay": flag((m == 1) & (dd == 1)),
         "newYearsDayObserved": flag(((m == 1) & (dd == 2) & (wd == MON)) | ((m == 12) & (dd == 31) & (wd == FRI))),
-        "martinLutherKingJrDay": flag((m == 1) & (wd == MON) & dd.between(15, 21)),
-        "washingtonsBirthday": flag((m == 2) & (wd == MON) & dd.between(15, 21)),
-        "memorialDay": flag((m == 5) & (wd == MON) & (dd >= 25)),
-        "juneteenthNationalIndependenceDay": flag((m == 6) & (dd == 19) & (y >= 2021)),
+        "martinLutherKingJrDay": flag((m == 1) & (wd == MON) & dd.between(15, 21) & (y >= FIRST_YEARS["martinLutherKingJrDay"])),
+        "washingtonsBirthday": flag((m == 2) & (wd == MON) & dd.between(15, 21) & (y >= FIRST_YEARS["washingtonsBirthday"])),
+        "memorialDay": flag((m == 5) & (wd == MON) & (dd >= 25) & (y >= FIRST_YEARS["memorialDay"])),
+        "juneteenthNationalIndependenceDay": flag((m == 6) & (dd == 19) & (y >= FIRST_YEARS["juneteenthNationalIndependenceDay"])),
         "independenceDay": flag((m == 7) & (dd == 4)),
-        "laborDay": flag((m == 9) & (wd == MON) & (dd <= 7)),
-        "columbusDay": flag((m == 10) & (wd == MON) & dd.between(8, 14)),
+        "laborDay": flag((m == 9) & (wd == MON) & (dd <= 7) & (y >= FIRST_YEARS["laborDay"])),
+        "columbusDay": flag((m == 10) & (wd == MON) & dd.between(8, 14) & (y >= FIRST_YEARS["columbusDay"])),
         "veteransDayObserved": flag((m == 11) & (((dd == 10) & (wd == FRI)) | ((dd == 12) & (wd == MON)))),
         "veteransDay": flag((m == 11) & (dd == 11)),
-        "thanksgivingDay": flag((m == 11) & (wd == THU) & dd.between(22, 28)),
+        "thanksgivingDay": flag((m == 11) & (wd == THU) & dd.between(22, 28) & (y >= FIRST_YEARS["thanksgivingDay"])),
         "christmasDay": flag((m == 12) & (dd == 25)),
     }
 

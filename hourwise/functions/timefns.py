@@ -110,8 +110,3 @@ def cyclical(value: Column | str, period: float) -> tuple[Column, Column]:
 def compact_date(text: Column | str) -> Column:
     """``yyyyMMdd`` text -> DATE."""
     return F.to_date(_c(text), "yyyyMMdd")
-
-
-def us_date(text: Column | str) -> Column:
-    """``MM/dd/yyyy`` text -> DATE."""
-    return F.to_date(_c(text), "MM/dd/yyyy")

@@ -123,9 +123,3 @@ def add_holiday_features(df: DataFrame, date_col: str = "Date") -> DataFrame:
     exprs.update(cal.thanksgiving_family_flags(date_col))
     exprs["easter"] = cal.easter_flag(date_col)
     return df.withColumns(exprs)
-
-
-def calendar_dim(spark: SparkSession, start, end) -> DataFrame:
-    """A date dimension ``[start, end]`` with every rule-based flag, for users who want the table itself."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("Date"))
-    return add_holiday_features(days)

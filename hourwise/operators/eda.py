@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import DEFAULT_BUCKET_ROWS, lags as lag_columns
+from .ordered import DEFAULT_BUCKET_ROWS, lags as lag_columns, null_safe_join
 from .profile import safe_corr
 from .quantiles import grouped_quantiles
 
@@ -22,7 +22,7 @@ def iqr_outliers(df: DataFrame, key, value: str = "Load", k: float = 1.5) -> Dat
     q = grouped_quantiles(df, keys, value, [0.25, 0.75], ["q1", "q3"])
     fences = q.select(*keys, (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower"),
                       (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper"))
-    j = df.join(fences, keys)
+    j = null_safe_join(df, fences, keys)
     return j.filter((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")))
 
 
@@ -53,7 +53,8 @@ def trend(df: DataFrame, key, ts: str = "Timestamp", value: str = "Load", origin
 
 def autocorrelation(df: DataFrame, key, ts: str = "Timestamp", value: str = "Load", lags: Sequence[int] = (1, 2, 3, 6, 12, 24),
                     *, bucket_rows=DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Pearson correlation of the series with itself k rows earlier, per series and lag."""
+    """Pearson correlation of the series with itself k *rows* earlier, per series and lag (where hours are
+    missing, a row lag spans more than k hours; fill gaps first for a lag in hours)."""
     keys = _keys(key)
     lagged = lag_columns(df.select(*keys, ts, value), keys, ts, value, lags, bucket_rows=bucket_rows)
     stack = ", ".join(f"{k}, `{value}Lag{k}`" for k in lags)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import missing_hours
+from .ordered import null_safe_join
 
 
 def _keys(key) -> list[str]:
@@ -23,7 +24,8 @@ def fill_linear_single(df: DataFrame, key: Sequence[str] | str, ts: str = "Times
     hour = F.make_interval(hours=F.lit(1))
     prev = df.select(*keys, (F.col(ts) + hour).alias(ts), F.col(value).alias("_p"))
     nxt = df.select(*keys, (F.col(ts) - hour).alias(ts), F.col(value).alias("_n"))
-    filled = (miss.join(prev, [*keys, ts]).join(nxt, [*keys, ts])
+    both = null_safe_join(null_safe_join(miss, prev, keys, plain=[ts]), nxt, keys, plain=[ts])
+    filled = (both
               .filter(F.col("_p").isNotNull() & F.col("_n").isNotNull())
               .select(*keys, ts, ((F.col("_p") + F.col("_n")) / 2).alias(value)))
     present = df.select(*keys, ts, value)
@@ -40,6 +42,6 @@ def fill_pattern(df: DataFrame, key: Sequence[str] | str, ts: str = "Timestamp",
     slot = [F.weekday(F.col(ts)).alias("_wd"), F.hour(F.col(ts)).alias("_hr")]
     profile = df.select(*keys, *slot, value).groupBy(*keys, "_wd", "_hr").agg(F.avg(value).alias(value))
     miss = missing_hours(df, keys, ts).select(*keys, ts, *slot)
-    filled = miss.join(profile, [*keys, "_wd", "_hr"]).select(*keys, ts, value)
+    filled = null_safe_join(miss, profile, keys, plain=["_wd", "_hr"]).select(*keys, ts, value)
     present = df.select(*keys, ts, value)
     return present.withColumn(flag, F.lit(False)).unionByName(filled.withColumn(flag, F.lit(True)))

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-class DuplicateKeyError(ValueError):
-    pass
+from .ordered import _norm_keys, null_safe_join
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,15 +20,17 @@ def add_temperature(load: DataFrame, weather: DataFrame, ts: str = "Timestamp",
     """Left equi-join of one weather value per hour onto every load row.
 
     Only the temperature column crosses the join.  A weather hour listed twice
-    would multiply load rows, so by default the weather side is checked first
-    (one small aggregate job) and a duplicate raises.  Spark/AQE choose
-    broadcast vs. sort-merge from the measured size of the weather side.
+    would multiply load rows, so by default the weather side is aggregated to
+    one row an hour inside the plan, and an hour with more than one row raises
+    when the query runs (message ``weather has n rows for ...``); no job runs
+    while the query is built.  Spark/AQE choose broadcast vs. sort-merge from
+    the measured size of the weather side.
     """
     w = weather.select(F.col(weather_ts).alias(ts), F.col(temp).alias(out))
     if check_unique:
-        dup = duplicate_keys(w, [ts]).limit(1).collect()
-        if dup:
-            raise DuplicateKeyError(f"weather has {dup[0]['n']} rows for {ts}={dup[0][ts]}")
+        n = F.count(F.lit(1))
+        message = F.concat(F.lit("weather has "), n.cast("string"), F.lit(f" rows for {ts}="), F.coalesce(F.col(ts).cast("string"), F.lit("NULL")))
+        w = w.filter(F.col(ts).isNotNull()).groupBy(ts).agg(F.when(n > 1, F.raise_error(message).cast("double")).otherwise(F.max(out)).alias(out))
     return load.join(w, ts, "left")
 
 
@@ -68,7 +68,7 @@ def missing_hours(df: DataFrame, keys: Sequence[str], ts: str = "Timestamp", ste
     """Expected grid minus present times, per series (left anti join)."""
     keys = list(keys)
     present = df.select(*keys, ts)
-    return hourly_grid(df, keys, ts, step_hours).join(present, [*keys, ts], "left_anti")
+    return null_safe_join(hourly_grid(df, keys, ts, step_hours), present, keys, plain=[ts], how="left_anti")
 
 
 def except_hours(df: DataFrame, keys: Sequence[str], ts: str = "Timestamp", step_hours: int = 1) -> DataFrame:
@@ -80,20 +80,28 @@ def except_hours(df: DataFrame, keys: Sequence[str], ts: str = "Timestamp", step
 def gap_report(df: DataFrame, keys: Sequence[str], ts: str = "Timestamp", first_n: int = 10, step_hours: int = 1) -> DataFrame:
     """Per series -- expected hours, available rows (duplicates counted), missing hours, first n missing.
 
-    The first-n list comes from ``row_number() <= n``, which Spark plans as a
-    partial top-n before the shuffle; no unbounded group is collected.
+    The expected times are every ``step_hours`` from the series' first time.  The present ones among them, in order,
+    bound the gaps; only gaps are expanded, and no further than the first ``first_n`` missing times of a series
+    (a gap's number of missing times is arithmetic).  One aggregate and one window over the distinct times.
     """
     keys = list(keys)
-    miss = missing_hours(df, keys, ts, step_hours)
-    w = Window.partitionBy(*keys).orderBy(ts)
-    firsts = (
-        miss.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= first_n)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(ts)).alias("first_missing"))
-    )
-    n_miss = miss.groupBy(*keys).agg(F.count(F.lit(1)).alias("missing_hours"))
-    base = df.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("available_rows"))
-    base = base.withColumn("expected_hours", F.floor(_span_seconds() / F.lit(step_hours * 3600)) + 1).drop("_lo", "_hi")
-    out = base.join(n_miss, keys, "left").join(firsts, keys, "left")
-    return out.withColumn("missing_hours", F.coalesce(F.col("missing_hours"), F.lit(0)))
+    step = step_hours * 3600
+    normed, names = _norm_keys(df.select(*keys, ts), keys)
+    times = normed.groupBy(*keys, *names, ts).agg(F.count(F.lit(1)).alias("_rows"))
+    w = Window.partitionBy(*names)
+    at = times.withColumn("_lo", F.min(ts).over(w)).withColumn("_slot", F.timestamp_diff("SECOND", F.col("_lo"), F.col(ts)) / F.lit(step))
+    on_grid = F.col("_slot") == F.floor("_slot")
+    last = F.max("_slot").over(w)
+    at = at.withColumn("_end", F.floor(last)).withColumn("_slot", F.when(on_grid, F.col("_slot").cast("long")))
+    order = w.orderBy(F.col("_slot").asc_nulls_last())
+    nxt = F.coalesce(F.lead("_slot").over(order), F.col("_end").cast("long") + 1)
+    at = at.withColumn("_gap", F.when(F.col("_slot").isNotNull(), nxt - F.col("_slot") - 1))
+    at = at.withColumn("_before", F.coalesce(F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    n = F.least(F.col("_gap"), F.lit(first_n) - F.col("_before"))
+    hours = F.transform(F.sequence(F.lit(1).cast("long"), n), lambda i: F.col("_lo") + F.make_dt_interval(secs=(F.col("_slot") + i) * F.lit(step)))
+    firsts = F.flatten(F.collect_list(F.when((F.col("_gap") > 0) & (F.col("_before") < first_n), hours)))
+    out = at.groupBy(*keys, *names).agg(
+        F.sum("_rows").alias("available_rows"), (F.floor(F.max("_end")) + 1).alias("expected_hours"),
+        F.coalesce(F.sum("_gap"), F.lit(0)).alias("missing_hours"), F.sort_array(firsts).alias("first_missing"))
+    found = F.when(F.size("first_missing") > 0, F.col("first_missing"))
+    return out.select(*keys, "available_rows", "expected_hours", "missing_hours", found.alias("first_missing"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import _norm_keys, null_safe_join
+
 
 def error_metrics(df: DataFrame, actual: str, pred: str, group: Sequence[str] = ()) -> DataFrame:
     """n, MSE, RMSE, MAE, MAPE % per group over rows with both values present.
@@ -32,7 +34,7 @@ def seasonal_naive(df: DataFrame, key: Sequence[str] | str, ts: str, value: str
     """Forecast = the value ``season_hours`` earlier of the same series (by time; NULL where absent)."""
     keys = [key] if isinstance(key, str) else list(key)
     past = df.select(*keys, (F.col(ts) + F.make_interval(hours=F.lit(season_hours))).alias(ts), F.col(value).alias(out))
-    return df.join(past, [*keys, ts], "left")
+    return null_safe_join(df, past, keys, plain=[ts], how="left")
 
 
 def walk_forward_folds(df: DataFrame, key: Sequence[str] | str, ts: str, value: str, pred: str, fold: str = "day",
@@ -43,7 +45,30 @@ def walk_forward_folds(df: DataFrame, key: Sequence[str] | str, ts: str, value:
     f = F.date_trunc(fold, F.col(ts)).cast("timestamp_ntz")
     with_fold = df.withColumn("fold", f)
     bounds = with_fold.groupBy(*keys).agg(F.min("fold").alias("_first"))
-    scored = with_fold.join(bounds, keys).filter(
+    scored = null_safe_join(with_fold, bounds, keys).filter(
         F.col("fold") >= F.col("_first") + F.expr(f"INTERVAL {min_train_folds} {fold.upper()}")
     )
     return error_metrics(scored, value, pred, [*keys, "fold"])
+
+
+def walk_forward_refit(df: DataFrame, key: Sequence[str] | str, ts: str, value: str = "Load", horizon_days: int = 1,
+                       min_train_days: int = 7) -> DataFrame:
+    """Walk-forward validation that refits (X9): before every fold of ``horizon_days`` days the profile model (mean by
+    weekday and hour of the series) is fitted on all earlier days and scored on the fold; metrics per (series, fold).
+
+    Fitting on a growing past is a running sum: rows are summed once per (series, weekday, hour, fold), and each
+    fold's model is the sum over the folds before it -- a window over that small table, so no fold reads the rows
+    again.  A slot never seen before its fold gives no forecast."""
+    keys = [key] if isinstance(key, str) else list(key)
+    t = F.col(ts)
+    day = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date"))
+    rows = df.select(*keys, ts, value, F.weekday(t).alias("_wd"), F.hour(t).alias("_hr"), F.floor(day / horizon_days).cast("int").alias("_f"))
+    normed, names = _norm_keys(rows.filter(F.col(value).isNotNull()), keys)
+    slots = normed.groupBy(*keys, *names, "_wd", "_hr", "_f").agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    past = Window.partitionBy(*names, "_wd", "_hr").orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.min("_f").over(Window.partitionBy(*names))
+    fitted = slots.select(*keys, "_wd", "_hr", "_f", (F.sum("_s").over(past) / F.sum("_c").over(past)).alias("forecast"), first.alias("_first"))
+    scored = null_safe_join(rows, fitted, keys, plain=["_wd", "_hr", "_f"])
+    scored = scored.filter(F.col("_f") * horizon_days >= F.col("_first") * horizon_days + min_train_days)
+    fold = F.date_add(F.lit("1970-01-01").cast("date"), F.col("_f") * horizon_days)
+    return error_metrics(scored.withColumn("fold", fold), value, "forecast", [*keys, "fold"])

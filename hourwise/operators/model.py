@@ -36,7 +36,7 @@ class Fitted:
 
     @property
     def n_trees(self) -> int:
-        return self.best_iteration or len(self.gbt.trees)
+        return len(self.gbt.trees)
 
 
 def feature_columns(df: DataFrame, target: str, exclude: Sequence[str] = (), *, allow_non_causal: bool = False) -> list[str]:
@@ -65,8 +65,10 @@ def _cast_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def fit_gbt(train: DataFrame, label: str, features: Sequence[str], *, key: str | None = "series", max_iter: int = 100,
             max_depth: int = 4, step_size: float = 0.1, seed: int = 42) -> Fitted:
     """M3: boosted trees with squared loss."""
+    # the indexed key is a category: trees need a bin for each series (and one for unseen ones)
+    bins = max(32, train.select(F.count_distinct(key)).first()[0] + 2) if key else 32
     pipe = _pipeline(features, key, label, maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed,
-                     lossType="squared")
+                     lossType="squared", maxBins=bins)
     return Fitted(pipe.fit(_cast_features(train, features)), list(features), key)
 
 
@@ -74,7 +76,8 @@ def fit_gbt_early_stop(train: DataFrame, valid: DataFrame, label: str, features:
                        max_iter: int = 200, max_depth: int = 6, step_size: float = 0.1, patience: int = 20,
                        seed: int = 42) -> Fitted:
     """M4: fit ``max_iter`` rounds, score every round on ``valid``, and keep the rounds up to the best one
-    before ``patience`` rounds without improvement; predictions use only those rounds."""
+    before ``patience`` rounds without improvement: the model is refitted with that many rounds, which grows the
+    same trees (boosting is sequential and seeded)."""
     full = fit_gbt(train, label, features, key=key, max_iter=max_iter, max_depth=max_depth, step_size=step_size, seed=seed)
     prepared = full.model.stages[:-1]
     v = _cast_features(valid, features)
@@ -89,40 +92,15 @@ def fit_gbt_early_stop(train: DataFrame, valid: DataFrame, label: str, features:
             since += 1
             if since >= patience:
                 break
+    if best + 1 < len(errors):
+        full = fit_gbt(train, label, features, key=key, max_iter=best + 1, max_depth=max_depth, step_size=step_size, seed=seed)
     full.best_iteration = best + 1
     return full
 
 
-def _first_trees_prediction(fitted: Fitted, df: DataFrame, n: int) -> DataFrame:
-    """Prediction of the first ``n`` boosting rounds: sum of weight_i * tree_i(features).
-
-    Boosting is sequential, so these are exactly the trees a fit with ``n``
-    rounds (same data and seed) would grow; no second fit is needed.
-    """
-    out = _cast_features(df, fitted.features)
-    for st in fitted.model.stages[:-1]:
-        out = st.transform(out)
-    trees, weights = fitted.gbt.trees[:n], fitted.gbt.treeWeights[:n]
-    cols = []
-    for i, t in enumerate(trees):
-        t = t.copy()
-        t.setFeaturesCol("features").setPredictionCol(f"__tree{i}")
-        out = t.transform(out)
-        cols.append(F.lit(float(weights[i])) * F.col(f"__tree{i}"))
-    total = cols[0]
-    for c in cols[1:]:
-        total = total + c
-    return out.withColumn("prediction", total).drop(*[f"__tree{i}" for i in range(len(trees))])
-
-
 def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
-    """M5: add ``prediction`` (from the best number of rounds when early stopping chose fewer); helper columns
-    of the pipeline are dropped."""
-    n = fitted.best_iteration
-    if n is not None and n < len(fitted.gbt.trees):
-        out = _first_trees_prediction(fitted, df, n)
-    else:
-        out = fitted.model.transform(_cast_features(df, fitted.features))
+    """M5: add ``prediction``; helper columns of the pipeline are dropped."""
+    out = fitted.model.transform(_cast_features(df, fitted.features))
     helper = [c for c in out.columns if c.endswith("__imp") or c.endswith("__idx") or c == "features"]
     return out.drop(*helper)
 

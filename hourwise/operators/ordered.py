@@ -69,8 +69,10 @@ def _norm_keys(df: DataFrame, keys: Sequence[str], prefix: str = "__k") -> tuple
     return df.withColumns(cols), list(cols)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, broadcast_right: bool = False) -> DataFrame:
-    """Inner join on ``on`` treating NULL = NULL, via plain equality on normalised key columns.
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, plain: Sequence[str] = (), how: str = "inner",
+                   broadcast_right: bool = False) -> DataFrame:
+    """Join on the keys ``on`` treating NULL = NULL, via plain equality on normalised key columns, and on the columns
+    ``plain`` (times, say), whose NULLs match nothing.
 
     ``broadcast_right`` only where the caller has a proven small bound on ``right``.
     """
@@ -79,7 +81,10 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, bro
     r2 = r2.drop(*on)
     if broadcast_right:
         r2 = F.broadcast(r2)
-    return l2.join(r2, names, "inner").drop(*names)
+    return l2.join(r2, [*names, *plain], how).drop(*names)
+
+
+_null_safe_join = null_safe_join
 
 
 def time_bucket(ts: str, bucket_days: int = 1) -> Column:
@@ -178,12 +183,11 @@ def sorted_index(
     shared checkpoint folder first: both uses read the same materialised rows,
     whatever the planner or a recomputation after a lost executor would do.
     """
-    from ..session import checkpoint_root
+    from ..session import materialized
 
     g = list(group)
-    checkpoint_root(df.sparkSession)
     s = df.orderBy(*[F.col(c) for c in g], *[F.col(c) if isinstance(c, str) else c for c in order])
-    s = s.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    s = materialized(s.withColumn("_mid", F.monotonically_increasing_id()), "sorted")
     s = s.withColumn("_pid", F.shiftrightunsigned("_mid", _POS_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     )
@@ -263,7 +267,7 @@ def calendar_lead(df: DataFrame, key, ts: str, value: str = "Load", hours: int =
     keys = _keys(key)
     out = out or f"{value}_target"
     ahead = df.select(*keys, (F.col(ts) - F.make_interval(hours=F.lit(hours))).alias(ts), F.col(value).alias(out))
-    return df.join(ahead, [*keys, ts], "left")
+    return null_safe_join(df, ahead, keys, plain=[ts], how="left").select(*df.columns, out)
 
 
 def lags(df: DataFrame, key, ts: str, value: str = "Load", lags: Sequence[int] = (24, 168), *, bucket_rows=DEFAULT_BUCKET_ROWS) -> DataFrame:
@@ -281,13 +285,14 @@ def rolling_std(df: DataFrame, key, ts: str, value: str = "Load", n: int = 24, m
 
 
 def daily_lag_table(df: DataFrame, key, date: str, value: str = "Load", days: int = 1, out: str | None = None,
-                    *, mode: str = "present", bucket_rows=DEFAULT_BUCKET_ROWS) -> DataFrame:
+                    *, mode: str = "present", bucket_rows: int | None = None) -> DataFrame:
     """(series, date, lagged daily mean): mean of ``value`` per (series, date), shifted by ``days``.
 
     mode="present": shift by ``days`` *present* dates (a missing date shifts
     further back, as a shifted daily series does).  mode="calendar": the
     mean of exactly ``date - days`` (NULL if that date is absent).
-    The table has one row per series and date, so it stays small.
+    The table has one row per series and date -- bounded by the days of the
+    span, not by the raw rows -- so the plain window is the default.
     """
     keys = _keys(key)
     out = out or f"{days}DayLag"
@@ -301,11 +306,11 @@ def daily_lag_table(df: DataFrame, key, date: str, value: str = "Load", days: in
 
 
 def daily_lag_mean(df: DataFrame, key, date: str, value: str = "Load", days: int = 1, out: str | None = None,
-                   *, mode: str = "present", bucket_rows=DEFAULT_BUCKET_ROWS) -> DataFrame:
+                   *, mode: str = "present", bucket_rows=None) -> DataFrame:
     """Lagged daily mean mapped back onto every row of that date (left join on (series, date))."""
     keys = _keys(key)
     lagged = daily_lag_table(df, keys, date, value, days, out, mode=mode, bucket_rows=bucket_rows)
-    return df.join(lagged, [*keys, date], "left")
+    return null_safe_join(df, lagged, keys, plain=[date], how="left")
 
 
 def chrono_split(df: DataFrame, key, ts: str, train_fraction: float = 0.8, out: str = "is_test",

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from .clean import numeric_columns
+from .clean import flag_columns, numeric_columns
 from .quantiles import column_quantiles
 
+CORR_CHUNK = 120  # pairs of columns scored in one aggregate: 15 columns in a single read
+
 
 def _q(c: str):
     return F.col(f"`{c}`")
@@ -108,11 +111,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def moments(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
-    """``(column, mean, std, median)`` of numeric columns."""
+    """``(column, mean, std, median)`` of numeric columns; mean and std are one plain aggregate."""
     cols = list(columns or numeric_columns(df))
-    med = column_quantiles(df, cols, [0.5], ["median"], approx=approx, extra={"mean": F.avg, "std": F.stddev_samp})
-    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    return allc.join(med, "column", "left").select("column", "mean", "std", "median")
+    wide = df.agg(*[fn(_q(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols) for n, fn in (("m", F.avg), ("s", F.stddev_samp))])
+    recs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std")) for i, c in enumerate(cols)])
+    plain = wide.select(F.explode(recs).alias("r")).select("r.*")
+    med = column_quantiles(df, cols, [0.5], ["median"], approx=approx)
+    return plain.join(med, "column", "left").select("column", "mean", "std", "median")
 
 
 def safe_corr(a, b):
@@ -125,27 +130,20 @@ def safe_corr(a, b):
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(x, y, r)`` for every ordered pair of numeric columns, pairwise-complete.
 
-    Each row is expanded into one ``(pair, a, b)`` record per pair where both
-    values are present, then a single grouped aggregate (3 functions) scores
-    all pairs: a compact, code-generated hash aggregate with a map-side partial
-    step, instead of one global aggregate carrying 3 x pairs buffers.
+    One read and no row expansion: the pairs are scored as aggregates in chunks of ``CORR_CHUNK`` pairs (so a code
+    block and an aggregation row stay small), each chunk a one-row table; the chunks' rows are unpivoted together.
     """
     cols = list(columns or numeric_columns(df))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    recs = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), _q(cols[i]).cast("double").alias("a"),
-                 _q(cols[j]).cast("double").alias("b"))
-        for i, j in pairs
-    ])
-    long = df.select(F.explode(recs).alias("p")).select("p.*").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    r = long.groupBy("i", "j").agg(
-        F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("r"))
-    # every pair listed (an all-missing pair has no records: r is NULL), mirrored to both orders
-    names = F.array(*[F.lit(c) for c in cols])
-    grid = df.sparkSession.createDataFrame(pairs, "i int, j int")
-    full = grid.join(r, ["i", "j"], "left")
-    both = full.unionByName(full.filter(F.col("i") != F.col("j")).select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
-    return both.select(names[F.col("i")].alias("x"), names[F.col("j")].alias("y"), "r")
+    wide = df.select(*[_q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = []
+    for k in range(0, len(pairs), CORR_CHUNK):
+        own = pairs[k:k + CORR_CHUNK]
+        r = wide.agg(*[safe_corr(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{n}") for n, (i, j) in enumerate(own)])
+        recs = [F.struct(F.lit(cols[a]).alias("x"), F.lit(cols[b]).alias("y"), F.col(f"r{n}").alias("r"))
+                for n, (i, j) in enumerate(own) for a, b in ([(i, j)] if i == j else [(i, j), (j, i)])]
+        parts.append(r.select(F.explode(F.array(*recs)).alias("p")).select("p.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def time_span(df: DataFrame, ts: str, group: Sequence[str] = ()) -> DataFrame:
@@ -170,3 +168,20 @@ def scale_by_count(df: DataFrame, column: str, out: str | None = None) -> DataFr
     """Each value divided by the table's row count (NULL rows counted), via a scalar subquery."""
     n = df.select(F.count(F.lit(1))).scalar()
     return df.withColumn(out or f"{column}_scaled", _q(column) / n)
+
+
+def check_relevance(df: DataFrame, column: str, y: str | None, kind: str) -> DataFrame:
+    """the report named by ``kind``: the table behind each chart or printout of the exploration script.
+
+    ``categoryAverage``: mean of ``y`` per value of ``column``; ``oneHot``: numbers of 1s and 0s; ``oneHotAvg``: means
+    of ``y`` where the flag is 1 and where it is 0; ``scatterPlot``: the (column, y) points with both values present.
+    """
+    if kind == "categoryAverage":
+        return category_mean(df, column, y)
+    if kind == "oneHot":
+        return flag_columns(df.select(_q(column)), column).agg(F.count_if("Yes").alias("n_yes"), F.count_if("No").alias("n_no"))
+    if kind == "oneHotAvg":
+        return cond_mean(df, column, y)
+    if kind == "scatterPlot":
+        return df.select(_q(column), _q(y)).dropna()
+    raise ValueError(f"no such report: {kind}")

@@ -7,8 +7,9 @@ are offered instead:
 * ``histogram`` (default): count / min / max per group; an equal-width
   histogram per group (at most ``bins`` rows per group, partial-aggregated);
   a prefix sum over that small table locates the bucket holding each target
-  rank; only the rows of those buckets are ranked (a bucket holding a single
-  repeated value needs no ranking at all).  No full sort of the column.
+  rank.  A bucket that still holds many different values is cut again, so a
+  heavy tail or an outlier never leaves most rows in one bucket; only small
+  buckets are ranked.  No full sort of the column; usually three reads.
 * ``sort``: one range-partitioned sort of all values (a hot group spreads over
   many partitions) and a dense rank from per-partition counts.
 
@@ -18,12 +19,17 @@ Both keep only the <= 2 values per probability that bracket each position.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialized
 from .ordered import _null_safe_join, sorted_index
 
+RANKED_ROWS = 100_000  # rows of one bucket that a single task may rank
+MAX_ROUNDS = 64  # each round divides a range of values by the number of bins
+
 
 def _pname(p: float) -> str:
     return f"q{round(p * 100, 6):g}".replace(".", "_")
@@ -57,6 +63,7 @@ def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Se
         v, g = v.withColumn("__all", F.lit(0)), ["__all"]
     sizes = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
                               *[fn(F.col("_v")).alias(k) for k, fn in extra.items()])
+    sizes = materialized(sizes, "quantile-sizes")
     small = whole or (groups_bound is not None and groups_bound <= 100_000)
     if method == "sort":
         picked = _ranked_by_sort(v, g, probs)
@@ -79,15 +86,15 @@ def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Se
     return out.drop("__all") if whole else out
 
 
-def _targets(sizes: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
+def _targets(sizes: DataFrame, g: list[str], probs: Sequence[float], *more: str) -> DataFrame:
     """(group..., _n, _p, _pos, _k) for k in {floor(pos), ceil(pos)}, pos = p * (n - 1)."""
     recs = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
         for k in (F.floor(pos), F.ceil(pos)):
             recs.append(F.struct(F.lit(i).alias("_p"), pos.alias("_pos"), k.cast("long").alias("_k")))
-    t = sizes.select(*g, "_n", F.explode(F.array_distinct(F.array(*recs))).alias("_t"))
-    return t.select(*g, "_n", "_t._p", "_t._pos", "_t._k")
+    t = sizes.select(*g, "_n", *more, F.explode(F.array_distinct(F.array(*recs))).alias("_t"))
+    return t.select(*g, "_n", "_t._p", "_t._pos", "_t._k", *more)
 
 
 def _ranked_by_sort(v: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
@@ -98,28 +105,44 @@ def _ranked_by_sort(v: DataFrame, g: list[str], probs: Sequence[float]) -> DataF
 
 
 def _ranked_by_histogram(v: DataFrame, g: list[str], probs: Sequence[float], bins: int, sizes: DataFrame,
-                         small: bool = False) -> DataFrame:
-    rng = sizes.select(*g, "_n", "_lo", "_hi")
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    bucket = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    vb = _null_safe_join(v, rng.drop("_n"), g, broadcast_right=small).withColumn("_b", bucket.cast("long")).drop("_lo", "_hi")
-    hist = vb.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
-    w = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    # each target rank falls in exactly one bucket: equi-join on the group, then keep the bucket whose range holds it
-    chosen = _null_safe_join(hist, _targets(rng.select(*g, "_n"), g, probs), g).filter(
-        (F.col("_k") >= F.col("_before")) & (F.col("_k") < F.col("_before") + F.col("_c")))
-    flat = chosen.filter(F.col("_bmin") == F.col("_bmax")).select(*g, "_p", "_k", "_pos", F.col("_bmin").alias("_val"))
-    need = chosen.filter(F.col("_bmin") < F.col("_bmax")).select(*g, "_b", "_p", "_k", "_pos",
-                                                                   (F.col("_k") - F.col("_before")).alias("_r"))
-    wanted = need.select(*g, "_b").distinct()  # <= groups x 2 x probabilities rows
-    band = _null_safe_join(vb, wanted, [*g, "_b"], broadcast_right=small)
-    # A chosen bucket holds ~n/bins rows (a bucket of one repeated value was
-    # resolved above without ranking), so it is ranked by a window per bucket.
-    wr = Window.partitionBy(*g, "_b").orderBy("_v")
+                         small: bool = False, most: int = RANKED_ROWS) -> DataFrame:
+    """The rows at the target ranks.  Ranges of values that hold a target are cut into ``bins`` equal parts again and
+    again until the part that holds it has one value only or at most ``most`` rows; those are ranked by a window.  A
+    heavy tail only costs another round.  Each round is one read of the values; its small tables are materialised, so
+    no round repeats an earlier one."""
+    ranges = _targets(sizes, g, probs, "_lo", "_hi").withColumn("_before", F.lit(0).cast("long"))
+    found, rounds = [], 0
+    while True:
+        # one value: the target is known; few rows: to be ranked; else the range is cut
+        ranges = materialized(ranges, "quantile-ranges")
+        flat = ranges.filter(F.col("_lo") == F.col("_hi")).select(*g, "_p", "_k", "_pos", F.col("_lo").alias("_val"))
+        found.append(flat)
+        wide = ranges.filter((F.col("_lo") < F.col("_hi")) & (F.col("_n") > most))
+        if rounds >= MAX_ROUNDS or wide.isEmpty():
+            break
+        rounds += 1
+        spans = wide.select(*g, F.col("_lo").alias("_l"), F.col("_hi").alias("_h")).distinct()
+        inside = _null_safe_join(v, spans, g, broadcast_right=small).filter(F.col("_v").between(F.col("_l"), F.col("_h")))
+        width = (F.col("_h") / bins - F.col("_l") / bins)  # the difference itself may overflow
+        bucket = F.when(width > 0, F.least(F.floor(F.col("_v") / width - F.col("_l") / width), F.lit(bins - 1).cast("double"))).otherwise(F.lit(0.0))
+        hist = inside.groupBy(*g, "_l", "_h", bucket.cast("long").alias("_b")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax"))
+        w = Window.partitionBy(*g, "_l", "_h").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        narrowed = _null_safe_join(wide.withColumns({"_l": F.col("_lo"), "_h": F.col("_hi")}), hist, g, plain=["_l", "_h"]).filter(
+            (F.col("_k") - F.col("_before") >= F.col("_off")) & (F.col("_k") - F.col("_before") < F.col("_off") + F.col("_c")))
+        narrowed = narrowed.select(*g, F.col("_c").alias("_n"), "_p", "_pos", "_k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                                   (F.col("_before") + F.col("_off")).alias("_before"))
+        ranges = ranges.filter((F.col("_lo") < F.col("_hi")) & (F.col("_n") <= most)).select(narrowed.columns).unionByName(narrowed)
+    need = ranges.filter(F.col("_lo") < F.col("_hi"))
+    spans = need.select(*g, F.col("_lo").alias("_l"), F.col("_hi").alias("_h")).distinct()
+    band = _null_safe_join(v, spans, g, broadcast_right=small).filter(F.col("_v").between(F.col("_l"), F.col("_h")))
+    wr = Window.partitionBy(*g, "_l", "_h").orderBy("_v")
     ranked = band.withColumn("_r", F.row_number().over(wr) - 1)
-    exact = _null_safe_join(ranked.select(*g, "_b", "_r", F.col("_v").alias("_val")), need, [*g, "_b", "_r"])
-    return flat.unionByName(exact.select(*g, "_p", "_k", "_pos", "_val"))
+    wanted = need.select(*g, F.col("_lo").alias("_l"), F.col("_hi").alias("_h"), "_p", "_k", "_pos", (F.col("_k") - F.col("_before")).alias("_r"))
+    exact = _null_safe_join(ranked.select(*g, "_l", "_h", "_r", F.col("_v").alias("_val")), wanted, g, plain=["_l", "_h", "_r"])
+    found.append(exact.select(*g, "_p", "_k", "_pos", "_val"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def unpivot_numeric(df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:

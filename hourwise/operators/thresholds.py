@@ -10,37 +10,37 @@ score every candidate at once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def threshold_search(df: DataFrame, temp: str = "Temperature", load: str = "Load", step: float = 1.0) -> DataFrame:
-    """Best threshold per flag: ``(flag, threshold, gain, n_flagged)``; hot = temp > threshold,
-    cold = temp < threshold, candidates are multiples of ``step``; ties -> lower threshold."""
-    d = df.filter(F.col(temp).isNotNull() & F.col(load).isNotNull())
-    y = F.col(load)
+def threshold_search(df: DataFrame, temp: str = "Temperature", load: str = "Load", step: float = 1.0,
+                     keys: Sequence[str] = ()) -> DataFrame:
+    """Best threshold per series and flag: ``(keys..., flag, threshold, gain, n_flagged)``; hot = temp > threshold,
+    cold = temp < threshold, candidates are multiples of ``step``; ties -> lower threshold.
+
+    One read: every row counts for two candidate bins (hot and cold); the totals and the running sums come from the
+    per-bin aggregate.  Its windows run over one row per (series, flag, candidate), that is the temperature range
+    divided by ``step``."""
+    keys = list(keys)
+    y, t = F.col(load), F.col(temp)
+    d = df.filter(t.isNotNull() & y.isNotNull())
     # Candidate t (in steps): hot <=> temp > t*step <=> ceil(temp/step) - 1 >= t;
     #                         cold <=> temp < t*step <=> floor(temp/step) + 1 <= t.
-    hot_b = (F.ceil(F.col(temp) / step) - 1).cast("long")
-    cold_b = (F.floor(F.col(temp) / step) + 1).cast("long")
-    # Totals as scalar subqueries (computed once, no join).
-    N = d.select(F.count(F.lit(1))).scalar()
-    S = d.select(F.sum(y)).scalar()
-    Q = d.select(F.sum(y * y)).scalar()
-
-    def side(bkey, flag, ascending_flagged):
-        g = d.groupBy(bkey.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
-        # flagged for candidate t: bins >= t (hot) or bins <= t (cold); running sums over the small bin
-        # table (one row per candidate), which is bounded by the temperature range / step.
-        w = Window.orderBy(F.desc("b") if ascending_flagged else F.asc("b")).rowsBetween(Window.unboundedPreceding, 0)
-        c = g.select("b", F.sum("n").over(w).alias("n1"), F.sum("s").over(w).alias("s1"), F.sum("q").over(w).alias("q1"))
-        n0, s0, q0 = N - F.col("n1"), S - F.col("s1"), Q - F.col("q1")
-        sse_total = Q - S * S / N
-        sse1 = F.col("q1") - F.col("s1") * F.col("s1") / F.col("n1")
-        sse0 = F.when(n0 > 0, q0 - s0 * s0 / n0).otherwise(F.lit(0.0))
-        scored = c.select(F.lit(flag).alias("flag"), (F.col("b") * F.lit(step)).alias("threshold"),
-                          (sse_total - sse1 - sse0).alias("gain"), F.col("n1").alias("n_flagged"))
-        best = Window.partitionBy("flag").orderBy(F.desc("gain"), F.asc("threshold"))
-        return scored.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r")
-
-    return side(hot_b, "hot", True).unionByName(side(cold_b, "cold", False))
+    sides = F.array(F.struct(F.lit("hot").alias("flag"), (F.ceil(t / step) - 1).cast("long").alias("b")),
+                    F.struct(F.lit("cold").alias("flag"), (F.floor(t / step) + 1).cast("long").alias("b")))
+    g = (d.select(*keys, y.alias("_y"), F.explode(sides).alias("_f")).groupBy(*keys, "_f.flag", "_f.b")
+         .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("s"), F.sum(F.col("_y") * F.col("_y")).alias("q")))
+    # flagged for candidate t: bins >= t (hot) or bins <= t (cold)
+    part = Window.partitionBy(*keys, "flag")
+    run = part.orderBy(F.when(F.col("flag") == "hot", -F.col("b")).otherwise(F.col("b"))).rowsBetween(Window.unboundedPreceding, 0)
+    c = g.select(*keys, "flag", "b", *[F.sum(x).over(run).alias(f"{x}1") for x in "nsq"], *[F.sum(x).over(part).alias(x) for x in "nsq"])
+    n0, s0, q0 = (F.col(x) - F.col(f"{x}1") for x in "nsq")
+    sse_total = F.col("q") - F.col("s") * F.col("s") / F.col("n")
+    sse1 = F.col("q1") - F.col("s1") * F.col("s1") / F.col("n1")
+    sse0 = F.when(n0 > 0, q0 - s0 * s0 / n0).otherwise(F.lit(0.0))
+    scored = c.select(*keys, "flag", (F.col("b") * F.lit(step)).alias("threshold"), (sse_total - sse1 - sse0).alias("gain"), F.col("n1").alias("n_flagged"))
+    best = part.orderBy(F.desc("gain"), F.asc("threshold"))
+    return scored.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r")

@@ -58,7 +58,7 @@ def build_features(
     df = timefeatures.add_date_hour(df, ts)
     df = timefeatures.add_time_features(df)
     df = ordered.rolling_features(df, key, ts, "Load", bucket_rows=bucket_rows)
-    df = df.join(lag, [key, "Date"], "left")
+    df = ordered.null_safe_join(df, lag, [key], plain=["Date"], how="left")
     df = timefeatures.add_numeric_date(df, ts)
     return df.select(key, ts, *[F.col(f"`{c}`") for c in FEATURE_COLUMNS])
 

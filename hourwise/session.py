@@ -51,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="hourwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -63,6 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "hourwise", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: later reads prune columns and push filters."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_bounded(df: DataFrame, row_bound: int, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast ``df`` only when its size has a proven upper bound below ``max_rows``.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,15 +13,20 @@ from pyspark.sql.types import StructType
 from ..functions.nulls import normalise_nan
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, *, header: bool = True) -> DataFrame:
-    """Headered CSV with an explicit schema (no inference pass); NaN and empty cells -> NULL."""
-    rd = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, *, header: bool = True,
+             multi_line: bool = False) -> DataFrame:
+    """Headered CSV with an explicit schema (no inference pass); NaN and empty cells -> NULL.
+
+    Quotes inside a quoted cell are doubled, as the CSV standard has it.  ``multi_line`` allows line breaks inside
+    quoted cells (a file is then read by one task)."""
+    rd = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").option("quote", '"').option("escape", '"')
+    rd = rd.option("multiLine", multi_line)
     return normalise_nan(rd.csv(path if isinstance(path, str) else list(path)))
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Headered CSV, no index column; replaces the target."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Headered CSV, no index column, quotes doubled; replaces the target."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite",
@@ -45,19 +51,42 @@ def with_month(df: DataFrame, ts: str, out: str = "month") -> DataFrame:
     return df.withColumn(out, F.date_format(F.col(ts), "yyyyMM"))
 
 
-def write_month_partitions(df: DataFrame, path: str, ts: str, month_col: str = "month") -> None:
-    """Write rows under ``month=yyyyMM`` partitions, replacing only the months present in ``df``.
+def write_month_partitions(df: DataFrame, path: str, ts: str, month_col: str = "month", keys: Sequence[str] | None = None) -> None:
+    """Write rows under ``month=yyyyMM`` partitions.
 
-    Dynamic partition overwrite makes a re-run of a month idempotent (an
-    append would duplicate it) and leaves other months untouched.  The
-    ``rebalance`` hint lets AQE group rows by month into right-sized tasks:
-    few files per month, and a hot month is split rather than written by one
-    task.
+    With ``keys`` the rows are merged with the stored ones of the same months: a stored row stays unless a delivered
+    row has equal keys (NULL equals NULL), so a second delivery of a month adds to the first, and a repeated one
+    changes nothing.  Without ``keys`` a delivery is the whole month and replaces it.  Other months are untouched
+    either way (dynamic partition overwrite).  The ``rebalance`` hint lets AQE group rows by month into right-sized
+    tasks: few files per month, and a hot month is split rather than written by one task.
     """
-    (with_month(df, ts, month_col).hint("rebalance", month_col).write.mode("overwrite")
+    new = with_month(df, ts, month_col)
+    stored = _stored_months(new.sparkSession, path, month_col) if keys else None
+    if stored is not None:
+        from ..operators.ordered import null_safe_join
+
+        touched = null_safe_join(stored, new.select(month_col).distinct(), [month_col], how="left_semi")
+        kept = null_safe_join(touched, new.select(*keys), list(keys), how="left_anti")
+        new = kept.unionByName(new, allowMissingColumns=True)
+        # the months are rewritten from their own files, so the merged rows are materialised first
+        from ..session import materialized
+
+        new = materialized(new, "merged-months")
+    (new.hint("rebalance", month_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(path))
 
 
+def _stored_months(spark: SparkSession, path: str, month_col: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing was written yet."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return df.withColumn(month_col, F.col(month_col).cast("string"))
+
+
 def read_month_partitions(spark: SparkSession, path: str, months: Sequence[str] | None = None,
                           month_col: str = "month") -> DataFrame:
     """One scan over the chosen month partitions (all when ``months`` is None), month kept as text."""

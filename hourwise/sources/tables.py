@@ -6,37 +6,17 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.nulls import normalise_nan
 from ..functions.timefns import hour_start
 
 
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
-def _schema_key(path: str) -> tuple | None:
-    try:
-        st = os.stat(path)
-    except OSError:  # not a local path (object store, HDFS): let Spark read the footer
-        return None
-    return (path, st.st_size, st.st_mtime_ns)
-
-
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Parquet scan of ``{base}/{name}.parquet`` with NaN mapped to NULL (pushdown and pruning stay intact).
+    """Parquet scan of ``{base}/{name}.parquet`` with NaN mapped to NULL.
 
-    The schema read from the file footer is remembered per (path, size,
-    mtime), so later scans of an unchanged table pass it explicitly and skip
-    the schema-inference job.
-    """
-    path = os.path.join(base, f"{name}.parquet")
-    key = _schema_key(path)
-    schema = _SCHEMAS.get(key) if key else None
-    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
-    if key and schema is None:
-        _SCHEMAS[key] = df.schema
-    return normalise_nan(df)
+    Columns are pruned as usual.  Filters on non-floating columns reach the scan; a filter on a floating column does
+    not, since it stands above the NaN mapping."""
+    return normalise_nan(spark.read.parquet(os.path.join(base, f"{name}.parquet")))
 
 
 def hourly_demand(

@@ -1,37 +1,48 @@
 """X11: incremental ingest of newly landed files with Structured Streaming.
 
-File source -> watermark -> de-duplication inside the watermark -> Parquet
-sink, run as ``availableNow`` batches: each run takes only files not seen
-before (tracked in the checkpoint), and a row repeated in a later file within
-the watermark is dropped.  Corrections older than the watermark are a batch
-job (month overwrite, sources.files.write_month_partitions).
+File source -> ``availableNow`` batches -> merge into month partitions.  Each run takes only files not seen before
+(tracked in the checkpoint).  A batch is de-duplicated by key and compared with the stored rows of the months it
+touches; rows whose key is already there are repeats, all others are appended.  However late a row arrives, it lands:
+there is no watermark to fall behind.  A batch that is replayed after a failure finds its own rows and adds nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..operators.ordered import null_safe_join
+from ..session import materialized
+from ..sources.files import _stored_months, with_month
+
+MONTH = "month"
+
+
+def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], ts: str) -> None:
+    """Append the rows of ``batch`` whose keys are not yet among the stored rows of the same months."""
+    new = with_month(batch.dropDuplicates(list(keys)), ts, MONTH)
+    stored = _stored_months(batch.sparkSession, target, MONTH)
+    if stored is not None:
+        months = null_safe_join(stored, new.select(MONTH).distinct(), [MONTH], how="left_semi")
+        # the months read are those written to: the new rows are materialised before the append
+        new = materialized(null_safe_join(new, months.select(*keys), list(keys), how="left_anti"), "ingest-batch")
+    new.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(target)
+
 
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: StructType, target: str, checkpoint: str, *,
-                       keys: Sequence[str], ts: str, watermark: str = "7 days", fmt: str = "csv",
-                       header: bool = True) -> StreamingQuery:
-    """Start one availableNow run and return the (finishing) query; call ``awaitTermination()``."""
+                       keys: Sequence[str], ts: str, fmt: str = "csv", header: bool = True) -> StreamingQuery:
+    """Start one availableNow run and return the (finishing) query; call ``awaitTermination()``.  ``keys`` name a row;
+    a row's time ``ts`` never changes between deliveries.  The target has a partition column ``month``."""
     rd = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         rd = rd.option("header", header)
     stream = rd.load(source_dir)
-    # Watermarks need TIMESTAMP; wall-clock UTC (TIMESTAMP_NTZ) maps 1:1 under the UTC session zone.
-    deduped = (stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
-               .withWatermark("_event_time", watermark)
-               .dropDuplicatesWithinWatermark(list(keys))
-               .drop("_event_time"))
-    return (deduped.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start(target))
+    return (stream.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, target, keys, ts))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def run_once(spark: SparkSession, *args, **kw) -> None:

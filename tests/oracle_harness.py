@@ -96,7 +96,7 @@ def main(argv):
     from hourwise.session import build_session
     import __spark_entry__ as E
 
-    spark = build_session("local[8]")
+    spark = build_session(os.environ.get("HARNESS_MASTER", "local[8]"))
     con = duck(sf)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0

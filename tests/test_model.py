@@ -18,15 +18,19 @@ def _synthetic(spark, hours=24 * 21, series=("a", "b")):
     return spark.createDataFrame(rows, "series string, Timestamp timestamp_ntz, Hour int, Dow int, Load double")
 
 
-def test_first_trees_prediction_equals_refit(spark):
-    df = _synthetic(spark, hours=24 * 7)
-    full = model.fit_gbt(df, "Load", ["Hour", "Dow"], max_iter=8, max_depth=3)
-    short = model.fit_gbt(df, "Load", ["Hour", "Dow"], max_iter=3, max_depth=3)
-    full.best_iteration = 3
-    a = model.predict(full, df).select("series", "Timestamp", F.col("prediction").alias("a"))
-    b = model.predict(short, df).select("series", "Timestamp", F.col("prediction").alias("b"))
-    diff = a.join(b, ["series", "Timestamp"]).select(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
-    assert diff < 1e-9
+def test_many_series_train(spark):
+    """The series key is a category without a limit on the number of series."""
+    rows = [(f"s{i}", dt.datetime(2024, 1, 1, h), h, float(h + i % 7)) for i in range(1000) for h in range(4)]
+    df = spark.createDataFrame(rows, "series string, Timestamp timestamp_ntz, Hour int, Load double")
+    fitted = model.fit_gbt(df, "Load", ["Hour"], max_iter=2, max_depth=3)
+    assert model.predict(fitted, df).count() == 4000
+
+
+def test_refit_at_the_best_round(spark):
+    df = _synthetic(spark, hours=24 * 10, series=("a",))
+    train, valid = df.filter("Timestamp < '2024-01-08'"), df.filter("Timestamp >= '2024-01-08'").withColumn("Load", F.lit(0.0))
+    fitted = model.fit_gbt_early_stop(train, valid, "Load", ["Hour"], max_iter=6, max_depth=2, patience=2)
+    assert fitted.n_trees == fitted.best_iteration < 6
 
 
 def test_gbt_beats_seasonal_naive(spark):

@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from hourwise.checks.queries import QUERIES
 from conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 SKIP = {"ml_gbt_random_split", "ml_gbt_early_stop", "topk_importance", "pipe_forecast_asof"}  # fitted by the model tests
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SKIP))
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k not in SKIP))
 def test_no_cross_or_nested_loop_join(spark, key):
     plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
@@ -18,8 +19,9 @@ def test_no_cross_or_nested_loop_join(spark, key):
 
 def test_weather_side_pushes_filter_and_prunes(spark):
     plan = E.queries()["join_left_temperature"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
-    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
+    # the hourly table is stored as Parquet once: its weather side is filtered and pruned at the scan
+    assert "PushedFilters: [IsNotNull(series), EqualTo(series,view), IsNotNull(Timestamp)]" in plan
+    assert "ReadSchema: struct<series:string,Timestamp:timestamp_ntz,Load:double>" in plan and "ExistingRDD" not in plan
 
 
 def test_documents_read_only_needed_columns(spark):

@@ -14,7 +14,7 @@ def test_incremental_ingest_totals(spark):
     base = tempfile.mkdtemp(prefix="hw-stream-", dir="/tmp")
     src, tgt, ck = (os.path.join(base, x) for x in ("src", "tgt", "ck"))
     os.makedirs(src)
-    kw = dict(keys=["Name", "ts"], ts="ts", watermark="30 days")
+    kw = dict(keys=["Name", "ts"], ts="ts")
 
     def write(name, lines):
         with open(os.path.join(src, name), "w") as fh:
@@ -30,3 +30,7 @@ def test_incremental_ingest_totals(spark):
     run_once(spark, src, SCHEMA, tgt, ck, **kw)
     totals.append(spark.read.parquet(tgt).count())
     assert totals == [2, 3, 3]
+    # rows much older than all before them still land, once
+    write("c.csv", ["N.Y.C.,2020-01-01 00:00:00,4.0", "N.Y.C.,2020-01-01 00:00:00,4.0", ",2020-01-01 00:00:00,5.0"])
+    run_once(spark, src, SCHEMA, tgt, ck, **kw)
+    assert spark.read.parquet(tgt).count() == 5
