@@ -71,13 +71,13 @@ def plan(rows: DataFrame, max_epochs: int, buckets: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, quality: str | None = None, key: str = "doc_id", text: str = "text", source: str = "source",
-        max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS, seed: str = SEED) -> DataFrame:
+        size: str | None = None, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS, seed: str = SEED) -> DataFrame:
     """``docs`` in a struct ``_row``, then ``size``, ``source_size``, ``target`` and ``taken``.  ``quality`` names a
-    column of document quality weights (none: all equal)."""
+    column of document quality weights (none: all equal), ``size`` one of sizes (none: the words of ``text``)."""
     q = F.col(f"`{quality}`").cast("double") if quality else F.lit(1.0)
     e = exponential_key(F.col(f"`{key}`"), q, seed)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{key}`").alias("id"),
-                       F.col(f"`{source}`").cast("string").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), e.alias("e"))
+                       F.col(f"`{source}`").cast("string").alias("source"), (F.col(f"`{size}`").cast("long") if size else word_count(F.col(f"`{text}`"))).alias("size"), e.alias("e"))
     rows = rows.withColumn("bucket", F.least(F.floor(-F.expm1(-F.col("e")) * buckets), F.lit(buckets - 1)).cast("int"))
     aims = stored(plan(rows.select("source", "size", "bucket"), max_epochs, buckets), "mix-plan")
     small = aims.count() <= BROADCAST_ROWS
@@ -98,19 +98,17 @@ def quality_weights(labels: DataFrame) -> DataFrame:
             .agg((F.lit(0.5) + 1.5 * F.avg("quality")).alias("quality_weight")))
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` in a struct ``doc`` beside id, text, source and the quality weight of its label (null: none)."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text", "source")
-    return packed.join(quality_weights(labels), F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
+def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of ``documents``, weighted by the quality in ``labels``.  Sizes are
+    counted before the labels are joined, so no text is shuffled."""
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
+    weighted = stored(sizes.join(quality_weights(labels), F.col("doc_id") == F.col("label_id"), "left").drop("label_id"), "mix-sizes")
+    out = mix(weighted, quality="quality_weight", size="n_words")
+    return out.select("_row.doc_id", "_row.source", "size", "source_size", "target", "taken")
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
-    # the word count goes before the join, so no text is shuffled
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    weights = quality_weights(read(spark, sf_dir, "labels"))
-    joined = docs.join(weights, F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
-    out = mix(joined, quality="quality_weight")
-    return out.select("_row.doc_id", "size", "source_size", "target", "taken")
+    return mix_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("source")
 
 
 ORACLE = rf"""
