@@ -18,6 +18,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.nulls import normalise_nan
 
 
+CHUNK_ROWS = 100_000
+
+
 def read_zip_csv(spark: SparkSession, path: str, schema: StructType, *, member_glob: str = "*.csv",
                  zone_col: str | None = None, zone: str | None = None, source_col: str = "source_member") -> DataFrame:
     """Every CSV member of every archive under ``path`` (a glob such as ``landing/*.zip``)."""
@@ -34,13 +37,15 @@ def read_zip_csv(spark: SparkSession, path: str, schema: StructType, *, member_g
                         if not fnmatch.fnmatch(member, member_glob):
                             continue
                         with zf.open(member) as fh:
-                            part = pd.read_csv(fh, dtype=str_schema, keep_default_na=True)
-                        if zone_col is not None and zone is not None:
-                            part = part[part[zone_col] == zone]
-                        part = part.reindex(columns=names)
-                        part[source_col] = f"{archive}!{member}"
-                        yield part
-
+                            for part in pd.read_csv(fh, dtype=str_schema, keep_default_na=True, chunksize=CHUNK_ROWS):
+                                if zone_col is not None and zone is not None:
+                                    part = part[part[zone_col] == zone]
+                                part = part.reindex(columns=names)
+                                part[source_col] = f"{archive}!{member}"
+                                yield part
+
+    # one archive at a time reaches the task, and its members are parsed and sent on in chunks of rows
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))
     raw = spark.read.format("binaryFile").load(path).select("path", "content")
     text_schema = StructType([StructField(f.name, StringType()) for f in schema.fields] + [StructField(source_col, StringType())])
     # binaryFile never splits a file, so each archive is read whole by one task; no shuffle of the bytes.

@@ -17,6 +17,35 @@ def test_no_cross_or_nested_loop_join(spark, key):
         assert bad not in plan, (key, bad)
 
 
+@pytest.mark.parametrize("key", ["pipe_features", "dq_gap_report", "mon_drift", "ml_threshold_search", "fill_pattern", "smp_random_split", "cal_interval_flags",
+                                 "dq_outliers_iqr", "ml_seasonal_naive", "fcst_split_report"])
+def test_no_cross_or_nested_loop_join_without_broadcasts(spark, key):
+    """Tables too large to broadcast do not fall back to comparing all pairs."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not any(bad in plan for bad in FORBIDDEN), key
+
+
+def test_samples_and_splits_shuffle_no_rows(spark):
+    """Only bucket counts and the cut bucket are shuffled: no exchange carries the payload of all rows."""
+    df = QUERIES["smp_hash_fraction"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    rows_shuffled = [x for x in plan.split("\n") if "Exchange" in x and "props" in x]
+    assert not rows_shuffled and "SortMergeJoin" not in plan
+
+
+def test_drift_reads_its_input_twice(spark):
+    df = QUERIES["mon_drift"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") <= 4  # the second pass feeds both the periods and the reference shares
+
+
 def test_weather_side_pushes_filter_and_prunes(spark):
     plan = E.queries()["join_left_temperature"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # the hourly table is stored as Parquet once: its weather side is filtered and pruned at the scan
