@@ -8,12 +8,22 @@ element is hashed to bin j, so after 2t rounds at the latest every bin is filled
 set stops at the first round after which all its bins are filled.  The share of equal bins of two sets estimates
 their similarity with the concentration of independent MinHashes.  ``rows`` bins make a band key; classes that share
 a key are candidates.  With 192 bins in 32 bands of 6, a pair at similarity 0.85 shares no band with probability
-(1 - 0.85^6)^32 = 3e-7.
+(1 - 0.85^6)^32 = 3e-7; at other thresholds the number of rows follows from the same bound (``band_rows``).
 
-Candidates are confirmed on full sets.  No bucket is expanded into all its pairs: first every member is compared with
-the bucket's leader (a star); after connected components, buckets whose members are still in different components
-take a star with another leader, as long as that merges something; at last only pairs that are in one bucket, in
-different components, of sizes that allow the threshold, and never compared before are compared.  Nothing is capped.
+Candidates are confirmed on full sets.  No bucket is expanded into all its pairs:
+
+1. Every member is compared with the bucket's hub, the member that shares the most buckets (the original of a group
+   of near copies, say).  Connected components of the links found settle most buckets.
+2. Buckets whose members are still in different components take a second star, around the largest other component's hub.
+3. What is left is split exactly.  Let a member differ from its hub o by the shingles A (added) and R (removed).
+   |x ^ y| = |Dx ^ Dy| with D = A + R (^: symmetric difference), so x and y can only be linked if Dx and Dy overlap in
+   at least m = (|Dx| + |Dy| - t (|x| + |y|)) / 2 elements, t = (1 - s) / (1 + s).  Two members of different components
+   are not both linked to the hub, and if x is not, |Dx| > t (|x| + |o|), hence m > (|Dy| - t (|Ay| - |Ry|)) / 2.  So
+   linked members share an added shingle or, by prefix filtering, one of the first |R| - m + 1 removed ones.  These
+   shingles are the keys of new buckets (for each hub), which hold only members with the same deviations.  They take
+   two stars, and then the pairs of different components in one such bucket that were never compared are compared.
+
+Every step is lossless for pairs that share a band, and nothing is capped.
 
 Defined results: null text or no words -> n_shingles 0, a component of its own; a null id never names a component
 while a member has an id (it is null if none has); repeated ids are one id, repeated rows one class.  ``kept`` is
@@ -128,6 +138,13 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
     return mixed(key + np.arange(1, parts.shape[1] + 1, dtype=np.uint64) * ROUND).view(np.int64)
 
 
+def band_rows(percent: int, bins: int, miss: float = 1e-6) -> int:
+    """Most rows of a band with which a pair at the threshold shares no band with probability ``miss`` at most: 6 at a
+    similarity of 0.85, 5 at 0.8 (192 bins)."""
+    fits = [r for r in range(1, bins + 1) if (1 - (percent / 100) ** r) ** (bins // r) <= miss]
+    return max(fits, default=1)
+
+
 def row_key(id_: Column, text: Column) -> list[Column]:
     """Two never-null hashes that name a row by id and text."""
     null = F.struct(id_.isNull().alias("a"), text.isNull().alias("b"))
@@ -160,38 +177,43 @@ def signatures(docs: DataFrame, key: str, text: str, words: int, bins: int, rows
     return src.mapInArrow(run, f"id {kind}, r1 long, r2 long, cls binary, n long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union.  A pair meets b's text by b, then
-    a's by a: where many pairs share one a, that join's partition is split at run time and a's one row repeated."""
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b).  A pair meets b's text by b, then a's by a: where many pairs share one a, that join's
+    partition is split at run time and a's one row repeated."""
     own = texts.select(F.col("cls").alias("_cls"), F.col("text").alias("_text"))
     with_b = pairs.join(own, F.col("b") == F.col("_cls")).select("a", "b", F.col("_text").alias("text_b"))
-    both = with_b.join(own, F.col("a") == F.col("_cls")).select("a", "b", F.col("_text").alias("text_a"), "text_b")
+    return with_b.join(own, F.col("a") == F.col("_cls")).select("a", "b", F.col("_text").alias("text_a"), "text_b")
+
+
+def compared(batch: pa.RecordBatch, words: int, what) -> Iterator[tuple[list, list, list]]:
+    """For parts of a batch of ``with_texts``: names a, names b, and what(i, set of a, set of b, two hashes of a's
+    name) of every pair i; the set of a text that occurs many times is made once."""
+    a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+    ta, tb = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
+    for part in chunks([len(x) for x in tb], SLICE_BYTES):
+        first = {a[i]: ta[i] for i in range(part.start, part.stop)}
+        place = {x: k for k, x in enumerate(first)}
+        lead = Sets([x.encode("utf-8", "replace") for x in first.values()], words)
+        other = Sets([x.encode("utf-8", "replace") for x in tb[part]], words)
+        name = mixed(np.frombuffer(b"".join(first), dtype="<u8").reshape(-1, 2) + np.array([1, 2], dtype=np.uint64))
+        yield a, b, [what(i, lead.of(place[a[i]]), other.of(i - part.start), name[place[a[i]]]) for i in range(part.start, part.stop)]
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+    def linked(i: int, x: np.ndarray, y: np.ndarray, _) -> int | None:
+        if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+            return None
+        common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+        return i if 100 * common >= percent * (len(x) + len(y) - common) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            ta, tb = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-            found = []
-            for part in chunks([len(x) for x in tb], SLICE_BYTES):
-                other = Sets([x.encode("utf-8", "replace") for x in tb[part]], words)
-                leaders: dict[bytes, int] = {}
-                for i in range(part.start, part.stop):
-                    leaders.setdefault(a[i], len(leaders))
-                first = {}
-                for i in range(part.start, part.stop):
-                    first.setdefault(a[i], ta[i])
-                lead = Sets([first[x].encode("utf-8", "replace") for x in leaders], words)
-                for i in range(part.start, part.stop):
-                    x, y = lead.of(leaders[a[i]]), other.of(i - part.start)
-                    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                        continue
-                    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                    common = int((x[at] == y).sum())
-                    if 100 * common >= percent * (len(x) + len(y) - common):
-                        found.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in found], pa.binary()), pa.array([b[i] for i in found], pa.binary())], ["a", "b"])
-
-    return both.mapInArrow(run, "a binary, b binary")
+            for a, b, made in compared(batch, words, linked):
+                found = [i for i in made if i is not None]
+                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in found], pa.binary()), pa.array([b[i] for i in found], pa.binary())], ["a", "b"])
+
+    return with_texts(pairs, texts).mapInArrow(run, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -218,23 +240,65 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Bucket members (key, cls, n) with ``comp``, their component so far."""
+    """Bucket members (key, cls, n, w, short) with ``comp``, their component so far."""
     if labels is None:
         return members.withColumn("comp", F.col("cls"))
-    return members.join(labels, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", F.coalesce("label", "cls").alias("comp"))
+    return members.join(labels, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "w", "short", F.coalesce("label", "cls").alias("comp"))
 
 
 def mixed_buckets(members: DataFrame) -> DataFrame:
-    """Members of the buckets that hold two components or more."""
-    split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(F.col("key").alias("_key"))
-    return members.join(split, F.col("key") == F.col("_key"), "left_semi")
+    """Members of the buckets in which two components or more may still meet."""
+    split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("short").alias("any")).where("lo != hi AND any")
+    return members.join(split.select(F.col("key").alias("_key")), F.col("key") == F.col("_key"), "left_semi")
+
+
+def exploded_counts(members: DataFrame) -> DataFrame:
+    return members.groupBy("key").agg(F.count("*").alias("c"))
+
+
+def deviations(around: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Finer buckets: (key, cls, n, w, short) for every hub a and member b of the pairs ``around``.  Keys name the hub
+    and a shingle in which b deviates from it.  ``short`` marks keys that suffice for partners not linked to the hub;
+    the others meet only those."""
+    def rows(i: int, hub: np.ndarray, own: np.ndarray, name: np.ndarray) -> tuple:
+        p, q = 100 - percent, 100 + percent
+        at = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
+        shared = hub[at] == own
+        added = own[~shared]
+        gone = np.ones(len(hub), dtype=bool)
+        gone[at[shared]] = False
+        removed = hub[gone]
+        d, common = len(added) + len(removed), int(shared.sum())
+        far = 100 * common < percent * (len(hub) + len(own) - common)
+        need = (d * q - p * (len(added) - len(removed))) // (2 * q) + 1
+        short = max(0, len(removed) - need + 1)
+        keys = short
+        if far:
+            need = max(1, -((p * (len(own) + len(hub)) - d * q) // (2 * q)))
+            keys = max(short, len(removed) - need + 1)
+        all_ = np.concatenate((mixed(added ^ name[0]), mixed(removed[:keys] ^ name[1])))
+        return i, all_, np.arange(len(all_)) < len(added) + short, len(own), -d
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, b, made in compared(batch, words, rows):
+                size = [len(r[1]) for r in made]
+                of = np.repeat(np.arange(len(made)), size)
+                join = lambda k, kind: np.concatenate([r[k] for r in made]) if made else np.zeros(0, kind)
+                spread = lambda k: np.array([r[k] for r in made], dtype=np.int64)[of]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(join(1, np.uint64).view(np.int64)), pa.array([b[r[0]] for r in made], pa.binary()).take(pa.array(of)),
+                     pa.array(spread(3)), pa.array(spread(4)), pa.array(join(2, bool))], ["key", "cls", "n", "w", "short"])
+
+    return with_texts(around, texts).mapInArrow(run, "key long, cls binary, n long, w long, short boolean")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
-                    bins: int = 192, rows: int = 6) -> DataFrame:
+                    bins: int = 192, rows: int | None = None) -> DataFrame:
     """(id, r1, r2, label, n_shingles, component_id, kept) for every row of ``docs``; r1 and r2 are its ``row_key``,
-    label names its component (null: empty set)."""
+    label names its component (null: empty set).  ``rows`` of a band: none: see ``band_rows``."""
     spark = docs.sparkSession
+    rows = rows or band_rows(percent, bins)
     sig = stored(signatures(docs, key, text, words, bins, rows), "signatures")
     least = F.min(F.struct("r1", "r2")).alias("rep")
     classes = sig.where("n > 0").groupBy("cls").agg(F.min("id").alias("least_id"), least, F.first("n").alias("n"), F.first("bands").alias("bands"))
@@ -252,33 +316,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     texts = stored(texts, "texts")
     release(spark)
 
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    tested: DataFrame | None = None
-    sizes = (100 * F.least("n", "_n") >= percent * F.greatest("n", "_n"))
-    now = members.withColumn("comp", F.col("cls"))
-    for turn in range(64):
-        # a star in every bucket that is still split: its leader against the members of other components
-        pick = F.min if turn % 2 == 0 else F.max
-        lead = now.groupBy("key").agg(pick(F.struct("cls", "n", "comp")).alias("l")).select(
-            F.col("key").alias("_key"), F.col("l.cls").alias("_cls"), F.col("l.n").alias("_n"), F.col("l.comp").alias("_comp"))
-        pairs = now.join(lead, F.col("key") == F.col("_key")).where((F.col("comp") != F.col("_comp")) & sizes)
-        pairs = _unseen(pairs, tested, hub="_cls")
-        found = stored(confirmed(pairs, texts, words, percent), "links")
-        tested = pairs if tested is None else stored(tested.unionByName(pairs), "tested")
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        labels = stored(components(links), "labels")
-        now = stored(mixed_buckets(labelled(members, labels)), "split-buckets")
-        if turn and now.isEmpty():
-            break
-    now = stored(mixed_buckets(labelled(members, labels)), "split-buckets")
-    other = now.select(F.col("key").alias("_key"), F.col("cls").alias("_cls"), F.col("n").alias("_n"), F.col("comp").alias("_comp"))
-    pairs = now.join(other, F.col("key") == F.col("_key")).where((F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & sizes)
-    found = stored(confirmed(_unseen(pairs, tested, hub="_cls"), texts, words, percent), "links")
-    if not found.isEmpty():
-        labels = stored(components(found if links is None else links.unionByName(found)), "labels")
+    state = _Search(texts, words, percent)
+    weight = members.join(exploded_counts(members), "key").groupBy("cls").agg(F.sum("c").alias("w"))
+    members = stored(members.join(weight, "cls").select("key", "cls", "n", "w", F.lit(True).alias("short")), "weighted")
+    now = state.star(members.withColumn("comp", F.col("cls")), members)
+    now = state.star(now, members, second=True)
+    if not now.isEmpty():
+        hubs = now.groupBy("key").agg(F.max(F.struct("w", "cls")).alias("l")).select(F.col("key").alias("_key"), F.col("l.cls").alias("a"))
+        around = now.join(hubs, F.col("key") == F.col("_key")).where("a != cls").select("a", F.col("cls").alias("b")).distinct()
+        fine = stored(deviations(stored(around, "around"), texts, words, percent), "deviations")
+        now = state.star(mixed_buckets(labelled(fine, state.labels)), fine)
+        now = state.star(now, fine, second=True)
+        state.rest(now)
+    labels = state.labels
     release(spark)
 
     named = classes.select("cls", "least_id")
@@ -291,13 +341,52 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return out.select("id", "r1", "r2", "label", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def _unseen(pairs: DataFrame, tested: DataFrame | None, hub: str) -> DataFrame:
-    """Distinct pairs (a: the leader, b) that were not compared before, stored."""
-    pairs = pairs.select(F.col(hub).alias("a"), F.col("cls").alias("b")).distinct()
-    if tested is not None:
-        old = tested.select(F.least("a", "b").alias("_lo"), F.greatest("a", "b").alias("_hi"))
-        pairs = pairs.join(old, (F.least("a", "b") == F.col("_lo")) & (F.greatest("a", "b") == F.col("_hi")), "left_anti")
-    return stored(pairs, "pairs")
+class _Search:
+    """Links and components found so far, and the pairs compared."""
+
+    def __init__(self, texts: DataFrame, words: int, percent: int):
+        self.texts, self.words, self.percent = texts, words, percent
+        self.links: DataFrame | None = None
+        self.labels: DataFrame | None = None
+        self.tested: DataFrame | None = None
+
+    def sizes(self) -> Column:
+        return 100 * F.least("n", "_n") >= self.percent * F.greatest("n", "_n")
+
+    def compare(self, pairs: DataFrame) -> bool:
+        """Confirm the pairs (a, b) that are new; whether a link was found."""
+        pairs = pairs.select("a", "b").distinct()
+        if self.tested is not None:
+            old = self.tested.select(F.least("a", "b").alias("_lo"), F.greatest("a", "b").alias("_hi"))
+            pairs = pairs.join(old, (F.least("a", "b") == F.col("_lo")) & (F.greatest("a", "b") == F.col("_hi")), "left_anti")
+        pairs = stored(pairs, "pairs")
+        found = stored(confirmed(pairs, self.texts, self.words, self.percent), "links")
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        if found.isEmpty():
+            return False
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.labels = stored(components(self.links), "labels")
+        return True
+
+    def star(self, now: DataFrame, members: DataFrame, second: bool = False) -> DataFrame:
+        """Compare the members of every bucket with its hub (``second``: with the heaviest member of another component
+        than the hub's); what is left of ``members``: the buckets that still hold several components."""
+        top = F.max(F.struct("w", "cls", "n", "comp", "short"))
+        lead = now.groupBy("key").agg(top.alias("l"))
+        if second:
+            other = now.join(lead.select(F.col("key").alias("_key"), F.col("l.comp").alias("_comp")), F.col("key") == F.col("_key")).where("comp != _comp")
+            lead = other.groupBy("key").agg(top.alias("l"))
+        lead = lead.select(F.col("key").alias("_key"), F.col("l.cls").alias("_cls"), F.col("l.n").alias("_n"), F.col("l.comp").alias("_comp"), F.col("l.short").alias("_short"))
+        pairs = now.join(lead, F.col("key") == F.col("_key")).where((F.col("comp") != F.col("_comp")) & (F.col("short") | F.col("_short")) & self.sizes())
+        self.compare(pairs.select(F.col("_cls").alias("a"), F.col("cls").alias("b")))
+        return stored(mixed_buckets(labelled(members, self.labels)), "split-buckets")
+
+    def rest(self, now: DataFrame) -> None:
+        """Compare what is left: pairs of different components in one bucket."""
+        other = now.select(F.col("key").alias("_key"), F.col("cls").alias("_cls"), F.col("n").alias("_n"), F.col("comp").alias("_comp"), F.col("short").alias("_short"))
+        pairs = now.join(other, F.col("key") == F.col("_key")).where(
+            (F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & (F.col("short") | F.col("_short")) & self.sizes())
+        self.compare(pairs.select(F.col("_cls").alias("a"), F.col("cls").alias("b")))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
