@@ -9,15 +9,15 @@ Ranking all byte positions in every round would shuffle the input many times ove
 1. *Anchors.*  The window of ``length`` bytes at a start p is tied to one position a in [p, p + length - core], the one
    with the least hash of the 32 bytes there (leftmost of equals).  It depends on the window's bytes alone, so equal
    windows have equal anchors at equal distance, and all starts tied to one anchor form a run, its *slot*.  First
-   round: anchors are ranked by the pair of names of the two halves of the ``core`` bytes at the anchor, which every
+   round: anchors are grouped by the name of the pair of halves of the ``core`` bytes at the anchor, which every
    window of the slot holds.  If that is unique, no window of the slot is repeated: the slot drops out.
 2. *Slots.*  Slots left are ranked by name of all their bytes: equal slots (two or more) are repeated at every start.
 3. *Positions.*  Where a core is shared by slots that differ, and some of them occur once, the starts of one slot of
    each kind go through the last round byte by byte: pairs of the names of the two halves of the window, the second
    at the doubled offset.  A pair that occurs twice is a repeated window.
 
-Names are 64-bit hashes of the bytes, so a pair has 128 bits; equal strings always get equal names, and Spark needs no
-global dense ranks.  Repeated starts are merged to byte ranges per text and cut out.  Texts are named by two hashes;
+Names are 64-bit hashes of the bytes; equal strings always get equal names, and Spark needs no global dense ranks.
+What decides on removal has 128 bits: a core's name with the slot's, or the pair of the last round.  Repeated starts are merged to byte ranges per text and cut out.  Texts are named by two hashes;
 exact copies of a text meet in the same ranges.
 
 Defined results: null text is empty; texts shorter than ``length`` are kept whole; repeated rows are copies like any
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RollingHash, bounded_batches, mixed, read, release, row_and, stored
+from .common import BASE, RollingHash, bounded_batches, mixed, read, release, row_and, stored
 
 LENGTH, CORE, GRAM = 400, 300, 32
 SEGMENT = 4 << 20  # bytes of a text looked at at once
@@ -64,7 +64,7 @@ def segments(data: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def text_key(text: Column) -> list[Column]:
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("text"), text).alias("k2")]
+    return [F.xxhash64(text).alias("k1"), F.hash(text).alias("k2")]
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -72,7 +72,7 @@ def _bytes(text: str | None) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, length: int, core: int) -> DataFrame:
-    """(core1, core2, slot, k1, k2, start, width): one row for each slot of each text."""
+    """(core, slot, k1, k2, start, width): one row for each slot of each text."""
     half = core // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +87,8 @@ def anchors(docs: DataFrame, length: int, core: int) -> DataFrame:
                     h = RollingHash(data)
                     a, lo, hi = slots(data, h, length, core)
                     name = mixed(h(lo, hi + length) ^ mixed(((a - lo) << 32 | (hi - lo)).astype(np.uint64) * LENS))
-                    out.append((mixed(h(a, a + half)), mixed(h(a + half, a + core)), name, k1, k2, lo + base, hi - lo + 1))
+                    pair = mixed(mixed(h(a, a + half)) * np.uint64(BASE) + h(a + half, a + core))
+                    out.append((pair, name, k1, k2, lo + base, hi - lo + 1))
                     rows += len(a)
                 if rows > 200_000:
                     yield _slot_batch(out)
@@ -95,16 +96,16 @@ def anchors(docs: DataFrame, length: int, core: int) -> DataFrame:
             if out:
                 yield _slot_batch(out)
 
-    return docs.mapInArrow(run, "core1 long, core2 long, slot long, k1 long, k2 long, start long, width int")
+    return docs.mapInArrow(run, "core long, slot long, k1 long, k2 int, start long, width int")
 
 
 def _slot_batch(out: list[tuple]) -> pa.RecordBatch:
     n = [len(o[0]) for o in out]
     join = lambda i: np.concatenate([o[i] for o in out])
-    key = lambda i: np.repeat(np.array([o[i] for o in out], dtype=np.int64), n)
+    key = lambda i, kind: pa.array(np.repeat(np.array([o[i] for o in out], dtype=kind), n))
     return pa.RecordBatch.from_arrays(
-        [pa.array(join(i).view(np.int64)) for i in range(3)] + [pa.array(key(3)), pa.array(key(4)), pa.array(join(5)), pa.array(join(6).astype(np.int32))],
-        ["core1", "core2", "slot", "k1", "k2", "start", "width"])
+        [pa.array(join(0).view(np.int64)), pa.array(join(1).view(np.int64)), key(2, np.int64), key(3, np.int32), pa.array(join(4)), pa.array(join(5).astype(np.int32))],
+        ["core", "slot", "k1", "k2", "start", "width"])
 
 
 def window_pairs(texts: DataFrame, length: int) -> DataFrame:
@@ -126,9 +127,9 @@ def window_pairs(texts: DataFrame, length: int) -> DataFrame:
                     h = RollingHash(data)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(mixed(h(q, q + half)).view(np.int64)), pa.array(mixed(h(q + half, q + length)).view(np.int64)),
-                         pa.array(np.full(len(q), k1)), pa.array(np.full(len(q), k2)), pa.array(q + base)], ["n1", "n2", "k1", "k2", "p"])
+                         pa.array(np.full(len(q), k1)), pa.array(np.full(len(q), k2, np.int32)), pa.array(q + base)], ["n1", "n2", "k1", "k2", "p"])
 
-    return texts.mapInArrow(run, "n1 long, n2 long, k1 long, k2 long, p long")
+    return texts.mapInArrow(run, "n1 long, n2 long, k1 long, k2 int, p long")
 
 
 def repeated_starts(docs: DataFrame, text: str = "text", length: int = LENGTH, core: int = CORE) -> DataFrame:
@@ -138,21 +139,20 @@ def repeated_starts(docs: DataFrame, text: str = "text", length: int = LENGTH, c
     t = F.col(f"`{text}`")
     src = docs.where(F.octet_length(t) >= length).select(*text_key(t), t.alias("text"))
     found = anchors(src, length, core)
-    shared = found.groupBy("core1", "core2").agg(F.count("*").alias("n")).where("n > 1").select(F.col("core1").alias("_1"), F.col("core2").alias("_2"))
-    left = found.join(shared, (F.col("core1") == F.col("_1")) & (F.col("core2") == F.col("_2")), "left_semi")
+    shared = found.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select(F.col("core").alias("_core"))
+    left = found.join(shared, F.col("core") == F.col("_core"), "left_semi")
     # copies of a text repeat its slots: count them, keep one row
-    left = stored(left.groupBy("core1", "core2", "slot", "k1", "k2", "start", "width").agg(F.count("*").alias("copies")), "slots")
+    left = stored(left.groupBy("core", "slot", "k1", "k2", "start", "width").agg(F.count("*").alias("copies")), "slots")
     release(spark)
 
     place = F.struct("k1", "k2", "start", "width")
-    kinds = stored(left.groupBy("core1", "core2", "slot").agg(F.sum("copies").alias("n"), F.min(place).alias("rep")), "slot-kinds")
-    several = kinds.where("n > 1").select(F.col("core1").alias("_1"), F.col("core2").alias("_2"), F.col("slot").alias("_s"))
-    same = (F.col("core1") == F.col("_1")) & (F.col("core2") == F.col("_2"))
-    whole = left.join(several, same & (F.col("slot") == F.col("_s")), "left_semi")
+    kinds = stored(left.groupBy("core", "slot").agg(F.sum("copies").alias("n"), F.min(place).alias("rep")), "slot-kinds")
+    several = kinds.where("n > 1").select(F.col("core").alias("_core"), F.col("slot").alias("_slot"))
+    same = F.col("core") == F.col("_core")
+    whole = left.join(several, same & (F.col("slot") == F.col("_slot")), "left_semi")
     whole = whole.select("k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("width") - 1).alias("z"))
     ranges = [stored(whole, "whole-slots")]
-    open_ = kinds.groupBy("core1", "core2").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").select(
-        F.col("core1").alias("_1"), F.col("core2").alias("_2"))
+    open_ = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").select(F.col("core").alias("_core"))
     asked = kinds.join(open_, same, "left_semi").select("rep.*").groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(
         F.collect_list(F.struct("start", "width")).alias("slots"))
     asked = stored(asked, "open-slots")
@@ -167,7 +167,9 @@ def repeated_starts(docs: DataFrame, text: str = "text", length: int = LENGTH, c
     single = pairs.join(twice, (F.col("n1") == F.col("_1")) & (F.col("n2") == F.col("_2")), "left_semi")
     ranges.append(single.select("k1", "k2", F.col("p").alias("a"), F.col("p").alias("z")))
     out = ranges[0].unionByName(ranges[1]).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "z")).alias("ranges"))
-    return stored(out, "ranges")
+    out = stored(out, "ranges")
+    release(spark)
+    return out
 
 
 def cut(docs: DataFrame, ranges: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
