@@ -14,14 +14,14 @@ Candidates are confirmed on full sets.  No bucket is expanded into all its pairs
 
 1. Every member is compared with the bucket's hub, the member that shares the most buckets (the original of a group
    of near copies, say).  Connected components of the links found settle most buckets.
-2. Buckets whose members are still in different components take a second star, around the largest other component's hub.
-3. What is left is split exactly.  Let a member differ from its hub o by the shingles A (added) and R (removed).
-   |x ^ y| = |Dx ^ Dy| with D = A + R (^: symmetric difference), so x and y can only be linked if Dx and Dy overlap in
-   at least m = (|Dx| + |Dy| - t (|x| + |y|)) / 2 elements, t = (1 - s) / (1 + s).  Two members of different components
-   are not both linked to the hub, and if x is not, |Dx| > t (|x| + |o|), hence m > (|Dy| - t (|Ay| - |Ry|)) / 2.  So
-   linked members share an added shingle or, by prefix filtering, one of the first |R| - m + 1 removed ones.  These
-   shingles are the keys of new buckets (for each hub), which hold only members with the same deviations.  They take
-   two stars, and then the pairs of different components in one such bucket that were never compared are compared.
+2. Buckets whose members are still in different components are split exactly.  Let a member differ from its hub o by
+   the shingles A (added) and R (removed).  |x ^ y| = |Dx ^ Dy| with D = A + R (^: symmetric difference), so x and y
+   can only be linked if Dx and Dy overlap in at least m = (|Dx| + |Dy| - t (|x| + |y|)) / 2 elements, where
+   t = (1 - s) / (1 + s).  Two members of different components are not both linked to the hub, and if x is not,
+   |Dx| > t (|x| + |o|), hence m > (|Dy| - t (|Ay| - |Ry|)) / 2.  So linked members share an added shingle or, by
+   prefix filtering, one of the first |R| - m + 1 removed ones.  These shingles are the keys of new buckets (for each
+   hub), which hold only members with the same deviations.  They take a star too.
+3. At last the pairs of different components in one such bucket that were never compared are compared.
 
 Every step is lossless for pairs that share a band, and nothing is capped.
 
@@ -190,7 +190,7 @@ def compared(batch: pa.RecordBatch, words: int, what) -> Iterator[tuple[list, li
     name) of every pair i; the set of a text that occurs many times is made once."""
     a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
     ta, tb = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-    for part in chunks([len(x) for x in tb], SLICE_BYTES):
+    for part in chunks([len(x) + len(y) for x, y in zip(ta, tb)], SLICE_BYTES):
         first = {a[i]: ta[i] for i in range(part.start, part.stop)}
         place = {x: k for k, x in enumerate(first)}
         lead = Sets([x.encode("utf-8", "replace") for x in first.values()], words)
@@ -218,23 +218,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of the links (a, b): the least node reachable.  Alternating large-star and
-    small-star rounds; each is an aggregation and a join, stored in the shared folder."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
-    print_of = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-    before = print_of(edges)
+    small-star rounds, each stored in the shared folder, until every node hangs on the least node of its component."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "_u")
-        large = both.join(least, F.col("u") == F.col("_u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, F.col("u") == F.col("_u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "_u")
         small = large.join(least, F.col("u") == F.col("_u")).select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = stored(small.where("u != v").distinct(), "small-star")
-        now = print_of(edges)
-        if now == before:
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("x").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 OR (up = 1 AND down > 0)").isEmpty():
             break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
@@ -252,10 +250,6 @@ def mixed_buckets(members: DataFrame) -> DataFrame:
     return members.join(split.select(F.col("key").alias("_key")), F.col("key") == F.col("_key"), "left_semi")
 
 
-def exploded_counts(members: DataFrame) -> DataFrame:
-    return members.groupBy("key").agg(F.count("*").alias("c"))
-
-
 def deviations(around: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Finer buckets: (key, cls, n, w, short) for every hub a and member b of the pairs ``around``.  Keys name the hub
     and a shingle in which b deviates from it.  ``short`` marks keys that suffice for partners not linked to the hub;
@@ -304,8 +298,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     classes = sig.where("n > 0").groupBy("cls").agg(F.min("id").alias("least_id"), least, F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = stored(classes, "classes")
     exploded = classes.select("cls", "n", F.explode("bands").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("_key"))
-    members = stored(exploded.join(shared, F.col("key") == F.col("_key"), "left_semi").select("key", "cls", "n"), "members")
+    shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    members = stored(exploded.join(shared, "key").select("key", "cls", "n", "c"), "members")
     release(spark)
 
     wanted = members.select(F.col("cls").alias("_cls")).distinct()
@@ -317,17 +311,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     release(spark)
 
     state = _Search(texts, words, percent)
-    weight = members.join(exploded_counts(members), "key").groupBy("cls").agg(F.sum("c").alias("w"))
+    weight = members.groupBy("cls").agg(F.sum("c").alias("w"))
     members = stored(members.join(weight, "cls").select("key", "cls", "n", "w", F.lit(True).alias("short")), "weighted")
     now = state.star(members.withColumn("comp", F.col("cls")), members)
-    now = state.star(now, members, second=True)
     if not now.isEmpty():
         hubs = now.groupBy("key").agg(F.max(F.struct("w", "cls")).alias("l")).select(F.col("key").alias("_key"), F.col("l.cls").alias("a"))
         around = now.join(hubs, F.col("key") == F.col("_key")).where("a != cls").select("a", F.col("cls").alias("b")).distinct()
         fine = stored(deviations(stored(around, "around"), texts, words, percent), "deviations")
-        now = state.star(mixed_buckets(labelled(fine, state.labels)), fine)
-        now = state.star(now, fine, second=True)
-        state.rest(now)
+        state.rest(state.star(mixed_buckets(labelled(fine, state.labels)), fine))
     labels = state.labels
     release(spark)
 
@@ -368,15 +359,11 @@ class _Search:
         self.labels = stored(components(self.links), "labels")
         return True
 
-    def star(self, now: DataFrame, members: DataFrame, second: bool = False) -> DataFrame:
-        """Compare the members of every bucket with its hub (``second``: with the heaviest member of another component
-        than the hub's); what is left of ``members``: the buckets that still hold several components."""
-        top = F.max(F.struct("w", "cls", "n", "comp", "short"))
-        lead = now.groupBy("key").agg(top.alias("l"))
-        if second:
-            other = now.join(lead.select(F.col("key").alias("_key"), F.col("l.comp").alias("_comp")), F.col("key") == F.col("_key")).where("comp != _comp")
-            lead = other.groupBy("key").agg(top.alias("l"))
-        lead = lead.select(F.col("key").alias("_key"), F.col("l.cls").alias("_cls"), F.col("l.n").alias("_n"), F.col("l.comp").alias("_comp"), F.col("l.short").alias("_short"))
+    def star(self, now: DataFrame, members: DataFrame) -> DataFrame:
+        """Compare the members of every bucket with its hub; what is left of ``members``: the buckets that still hold
+        several components."""
+        lead = now.groupBy("key").agg(F.max(F.struct("w", "cls", "n", "comp", "short")).alias("l")).select(
+            F.col("key").alias("_key"), *[F.col(f"l.{c}").alias(f"_{c}") for c in ("cls", "n", "comp", "short")])
         pairs = now.join(lead, F.col("key") == F.col("_key")).where((F.col("comp") != F.col("_comp")) & (F.col("short") | F.col("_short")) & self.sizes())
         self.compare(pairs.select(F.col("_cls").alias("a"), F.col("cls").alias("b")))
         return stored(mixed_buckets(labelled(members, self.labels)), "split-buckets")
