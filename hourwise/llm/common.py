@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
@@ -43,14 +44,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Drop frames no longer referenced, so that Spark's cleaner removes the shuffle files of finished phases."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def packed(df: DataFrame) -> DataFrame:
-    """All columns in one struct ``_row``: an operator's own columns beside it can't clash with any input column."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    """Drop frames no longer referenced, so that Spark's cleaner removes the shuffle files of finished phases.  The
+    cleaner works in the background on what the collector finds: the second round gets what the first one freed."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def row_and(src: DataFrame, ddl: str) -> StructType:
