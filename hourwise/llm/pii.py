@@ -9,6 +9,10 @@ Base kinds (leftmost, non-overlapping in each kind): ``email``; ``ip`` (parts at
 Luhn); ``phone`` (9 to 15 digits).  The method's own kinds, found at cues: ``iban`` (mod-97 check), ``account`` (a cue
 word followed by a number of 6 to 20 digits), ``ssn`` (cue and ddd-dd-dddd), ``login`` (user:password part of an URL).
 
+An IBAN may be followed by words that could be its next groups ("... 1332 BIC").  It ends where its country's length
+says, or else with the longest run of groups; for a country without a listed length, all ends of groups are tried from
+the longest run to the shortest until mod-97 holds.
+
 Defined results: null or empty text -> no span; repeated rows are each parsed; spans of different kinds may overlap
 and are all kept; ids may be null; other columns ride along untouched.
 """
@@ -31,6 +35,13 @@ RANK = {k: i for i, k in enumerate(KINDS)}
 #: Cue words before an account number.
 ACCOUNT_CUES = ("account", "acct", "konto", "kontonummer", "cuenta", "compte")
 
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in codes.split()}
+
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _domain = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _ip = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -82,6 +93,14 @@ def valid_iban(s: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def iban_end(s: str) -> int:
+    """Where the IBAN at the start of ``s``, the longest run of its groups, ends (0: none): at a space or with ``s``."""
+    ends = [len(s), *(i for i in range(len(s) - 1, 0, -1) if s[i] == " ")]
+    if own := IBAN_LENGTHS.get(s[:2]):
+        ends = [*(e for e in ends if e - s.count(" ", 0, e) == own), len(s)]
+    return next((e for e in ends if valid_iban(s[:e])), 0)
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """All spans (start, end, kind), by start, then kind as listed."""
     out: list[tuple[int, int, str]] = []
@@ -118,8 +137,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
         elif at and (text[at - 1].isalnum()) and name != "scheme":
             continue  # a cue inside another word
         elif name == "iban":
-            if (m := _iban.match(text, end + 1)) and valid_iban(m.group(1)):
-                out.append((m.start(1), m.end(1), "iban"))
+            if (m := _iban.match(text, end + 1)) and (size := iban_end(m.group(1))):
+                out.append((m.start(1), m.start(1) + size, "iban"))
         elif name == "ssn":
             if m := _ssn.match(text, end + 1):
                 out.append((m.start(1), m.end(1), "ssn"))

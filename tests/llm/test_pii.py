@@ -48,6 +48,20 @@ def test_cues():
     assert kinds("see https://bob:secret@host.org/x") == [("bob:secret", "login")]
 
 
+def test_iban_before_upper_case_words():
+    ibans = ("BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874",
+             "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S")
+    words = (" A", " NR", " BIC CAIXESBB", " EUR 500", " BANK", " BANK OF X", " 2024", " 2024 EUR 1", " ABCD EFGH IJKL MNOP QRST", ".", "\nBIC", " bic")
+    for iban in ibans:
+        for own in (iban, iban.replace(" ", "")):
+            for word in words:
+                text = f"IBAN {own}{word}"
+                assert [text[a:b] for a, b, k in pii.find(text) if k == "iban"] == [own], text
+    assert pii.redact("IBAN ES91 2100 0418 4502 0005 1332 BIC CAIXESBB") == "IBAN <IBAN> BIC CAIXESBB"
+    assert [k for *_, k in pii.find("IBAN ZZ59 1234 5678 9012 3456 EUR")] == ["iban"]  # a code without a listed length
+    assert "iban" not in [k for *_, k in pii.find("IBAN ES92 2100 0418 4502 0005 1332 BIC CAIXESBB")]  # wrong check digits
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 1_000_000, "1" * 1_000_000, "a@" * 300_000, "1.2.3." * 100_000, "+1 " * 200_000, "." * 500_000 + "@a.b"):
         brute_free = pii.find(text)
