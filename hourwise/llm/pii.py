@@ -50,7 +50,8 @@ _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _iban = re.compile(r"[\x20:#-]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _account = re.compile(r"(?:[\x20.]{0,2}(?:number|numero|no|nr|num|id))?[\x20.:#-]{1,4}([0-9](?:[\x20-]?[0-9]){5,19})(?![0-9A-Za-z])", re.I)
 _ssn = re.compile(r"[\x20.:#-]{1,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
-_login = re.compile(r"([^\s/?#@:<>\"']+:[^\s/?#@<>\"']+)@[A-Za-z0-9.-]+")
+# ends before the next slash, so the parsers at several schemes never read the same characters
+_login = re.compile(r"([^\s/?#@:<>\"']++:[^\s/?#@<>\"']++)@[A-Za-z0-9.-]")
 
 _automaton: list = []
 
@@ -147,8 +148,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 account_end = m.end()
                 out.append((m.start(1), m.end(1), "account"))
         elif name == "scheme" and end + 1 < n:
-            if m := _login.match(text[end + 1:end + 1025]):
-                out.append((end + 1, end + 1 + m.end(1), "login"))
+            if m := _login.match(text, end + 1):
+                out.append((end + 1, m.end(1), "login"))
     out.sort(key=lambda s: (s[0], RANK[s[2]], s[1]))
     return out
 

@@ -62,6 +62,14 @@ def test_iban_before_upper_case_words():
     assert "iban" not in [k for *_, k in pii.find("IBAN ES92 2100 0418 4502 0005 1332 BIC CAIXESBB")]  # wrong check digits
 
 
+def test_login_of_any_length():
+    for user, password in (("bob", "s" * 1020), ("bob", "s" * 1019), ("b" * 5000, "x"), ("bob", "p:%" * 500_000)):
+        text = f"see https://{user}:{password}@host.org/x"
+        assert [(a, b) for a, b, k in pii.find(text) if k == "login"] == [(12, 13 + len(user) + len(password))]
+    for text in ("://a:" * 200_000, "://" + "a" * 1_000_000, "://a:" + "b:" * 500_000, "://a:b" * 200_000 + "@h"):
+        assert len([k for *_, k in pii.find(text) if k == "login"]) == text.endswith("@h")
+
+
 def test_long_texts_take_linear_time():
     for text in ("a" * 1_000_000, "1" * 1_000_000, "a@" * 300_000, "1.2.3." * 100_000, "+1 " * 200_000, "." * 500_000 + "@a.b"):
         brute_free = pii.find(text)
