@@ -13,18 +13,14 @@ from pyspark.sql import functions as F
 from hourwise.llm import decontaminate, lang_id, mixing, near_dup, pii
 from hourwise.llm.common import read, stored
 
-#: A text is rejected if no language labels this share of its letters.
-LEAST_LANGUAGE_SHARE = 0.5
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those in which no language holds half of the letters.  Where no
-    labelled row teaches a language, only the first test applies."""
+    """Rejects the documents that operator 1 leaves undetermined (``und``: without a letter).  Mixed-language text
+    stays, whatever the share of its largest language.  Where no labelled row teaches a language, letters decide."""
     model = lang_id.fit(docs, where=~lang_id.held_out())
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = lang_id.label(docs, model)
-    return found.where((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)).select("_row.*")
+    return lang_id.label(docs, model).where(F.col("lang_pred") != lang_id.UNKNOWN).select("_row.*")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

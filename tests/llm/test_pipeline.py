@@ -40,3 +40,15 @@ def test_stages_against_brute_force(spark):
         if name == "mixing":
             assert set(now) == set(before) and abs(sum(r.taken for r in now.values()) - sum(r["size"] for r in now.values())) < 0.1 * sum(r["size"] for r in now.values())
         out.append(spark.createDataFrame(list(now.values()), df.schema))
+
+
+def test_clean_text_of_several_languages_stays(spark):
+    docs = read(spark, SF, "documents")
+    of = {r.lang: r.text for r in docs.where("lang IS NOT NULL AND n_chars > 1000").collect()}
+    assert len(of) >= 3
+    parts = [of[k][:600] for k in sorted(of)]
+    new = [(-1, " ".join(parts[:3]), None, "x", 0), (-2, " ".join(parts), None, "x", 0), (-3, "12 + 34 = 46", None, "x", 0), (-4, None, None, "x", 0)]
+    df = docs.unionByName(spark.createDataFrame(new, "doc_id long, text string, lang string, source string, n_chars long"))
+    found = {r["_row"].doc_id: r.score for r in lang_id.label(df.where("doc_id < 0"), lang_id.fit(docs, where=~lang_id.held_out())).collect()}
+    assert 0 < found[-1] < 0.5 and 0 < found[-2] < 0.5  # every span is labelled, no language holds half
+    assert {i for i in rows(p.language_stage(spark, df, SF)) if i < 0} == {-1, -2}
