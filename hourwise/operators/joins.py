@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import _norm_keys, null_safe_join
+from .ordered import _norm_keys, null_safe_join, time_bucket
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,26 +82,41 @@ def gap_report(df: DataFrame, keys: Sequence[str], ts: str = "Timestamp", first_
 
     The expected times are every ``step_hours`` from the series' first time.  The present ones among them, in order,
     bound the gaps; only gaps are expanded, and no further than the first ``first_n`` missing times of a series
-    (a gap's number of missing times is arithmetic).  One aggregate and one window over the distinct times.
+    (a gap's number of missing times is arithmetic).  Windows over a whole series see one row a week; times are put in
+    order inside the weeks (at most ``first_n`` a series) that hold the first missing ones.
     """
     keys = list(keys)
     step = step_hours * 3600
     normed, names = _norm_keys(df.select(*keys, ts), keys)
-    times = normed.groupBy(*keys, *names, ts).agg(F.count(F.lit(1)).alias("_rows"))
-    w = Window.partitionBy(*names)
-    at = times.withColumn("_lo", F.min(ts).over(w)).withColumn("_slot", F.timestamp_diff("SECOND", F.col("_lo"), F.col(ts)) / F.lit(step))
-    on_grid = F.col("_slot") == F.floor("_slot")
-    last = F.max("_slot").over(w)
-    at = at.withColumn("_end", F.floor(last)).withColumn("_slot", F.when(on_grid, F.col("_slot").cast("long")))
-    order = w.orderBy(F.col("_slot").asc_nulls_last())
-    nxt = F.coalesce(F.lead("_slot").over(order), F.col("_end").cast("long") + 1)
-    at = at.withColumn("_gap", F.when(F.col("_slot").isNotNull(), nxt - F.col("_slot") - 1))
-    at = at.withColumn("_before", F.coalesce(F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    week = [*names, "_tb"]
+    normed = normed.withColumn("_tb", F.coalesce(time_bucket(ts, 7), F.lit(-(2**62))))
+    times = normed.groupBy(*keys, *week, ts).agg(F.count(F.lit(1)).alias("_rows"))
+    series, before = Window.partitionBy(*names), Window.partitionBy(*names).orderBy("_tb")
+    weeks = normed.groupBy(*week).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    weeks = weeks.select(*week, F.min("_lo").over(series).alias("_lo"), F.max("_hi").over(series).alias("_hi"))
+    at = times.join(weeks, week).withColumn("_slot", F.floor(F.timestamp_diff("SECOND", F.col("_lo"), F.col(ts)) / F.lit(step)))
+    on_grid = F.col("_lo") + F.make_dt_interval(secs=F.col("_slot") * F.lit(step)) == F.col(ts)
+    at = at.withColumn("_end", F.floor(_span_seconds() / F.lit(step))).withColumn("_slot", F.when(on_grid, F.col("_slot")))
+
+    by_week = at.groupBy(*keys, *week).agg(
+        F.sum("_rows").alias("_rows"), F.max("_lo").alias("_lo"), F.max("_end").alias("_end"),
+        F.min("_slot").alias("_first"), F.max("_slot").alias("_last"), F.count("_slot").alias("_n"))
+    # the next present time after the week's last one; weeks without a present time have no gap of their own
+    following = F.min("_first").over(before.rowsBetween(1, Window.unboundedFollowing))
+    by_week = by_week.withColumn("_next", F.coalesce(following, F.col("_end") + 1))
+    by_week = by_week.withColumn("_gap", F.col("_next") - F.col("_first") - F.col("_n"))
+    by_week = by_week.withColumn("_before", F.coalesce(F.sum("_gap").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+
+    wanted = by_week.where((F.col("_gap") > 0) & (F.col("_before") < first_n)).select(*week, "_next", F.col("_before").alias("_base"))
+    order = Window.partitionBy(*week).orderBy("_slot")
+    gaps = at.where(F.col("_slot").isNotNull()).select(*week, "_lo", "_slot").join(wanted, week)
+    gaps = gaps.withColumn("_gap", F.coalesce(F.lead("_slot").over(order), F.col("_next")) - F.col("_slot") - 1)
+    gaps = gaps.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_gap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     n = F.least(F.col("_gap"), F.lit(first_n) - F.col("_before"))
     hours = F.transform(F.sequence(F.lit(1).cast("long"), n), lambda i: F.col("_lo") + F.make_dt_interval(secs=(F.col("_slot") + i) * F.lit(step)))
-    firsts = F.flatten(F.collect_list(F.when((F.col("_gap") > 0) & (F.col("_before") < first_n), hours)))
-    out = at.groupBy(*keys, *names).agg(
-        F.sum("_rows").alias("available_rows"), (F.floor(F.max("_end")) + 1).alias("expected_hours"),
-        F.coalesce(F.sum("_gap"), F.lit(0)).alias("missing_hours"), F.sort_array(firsts).alias("first_missing"))
-    found = F.when(F.size("first_missing") > 0, F.col("first_missing"))
-    return out.select(*keys, "available_rows", "expected_hours", "missing_hours", found.alias("first_missing"))
+    firsts = gaps.where((F.col("_gap") > 0) & (F.col("_before") < first_n)).groupBy(*names).agg(
+        F.sort_array(F.flatten(F.collect_list(hours))).alias("first_missing"))
+    out = by_week.groupBy(*keys, *names).agg(
+        F.sum("_rows").alias("available_rows"), (F.max("_end") + 1).alias("expected_hours"),
+        F.coalesce(F.sum("_gap"), F.lit(0)).alias("missing_hours"))
+    return out.join(firsts, names, "left").select(*keys, "available_rows", "expected_hours", "missing_hours", "first_missing")

@@ -31,6 +31,28 @@ def test_grid_keeps_offset_and_finds_gaps(spark):
     assert rep["first_missing"] == miss
 
 
+def test_gap_report_orders_no_whole_series(spark):
+    """Gaps inside and across weeks, repeats, times off the grid, NULL times and keys; times are ordered by week only."""
+    import random
+
+    rng, start, rows, want = random.Random(7), dt.datetime(2024, 1, 1, 0, 30), [], {}
+    for key, hours, keep, first_n in (("a", 3000, 0.999, 10), ("b", 2000, 0.3, 10), (None, 900, 0.98, 10), ("d", 1, 1, 10)):
+        there = [0, *(h for h in range(1, hours) if rng.random() < keep and not (key == "a" and 500 < h < 1500))]
+        own = [start + dt.timedelta(hours=h) for h in there for _ in range(1 + (h % 50 == 0))]
+        own += [start + dt.timedelta(hours=h, minutes=20) for h in (there[-1], 700) if h <= there[-1] and hours > 1] + [None]
+        missing = [start + dt.timedelta(hours=h) for h in sorted(set(range(there[-1] + 1)) - set(there))]
+        rows += [(key, t) for t in own]
+        want[key] = (len(own), there[-1] + 1, len(missing), missing[:first_n] or None)
+    rows.append(("no time", None))
+    want["no time"] = (1, None, 0, None)
+    df = spark.createDataFrame(rows, "series string, Timestamp timestamp_ntz").repartition(5)
+    out = joins.gap_report(df, ["series"])
+    assert {r.series: (r.available_rows, r.expected_hours, r.missing_hours, r.first_missing) for r in out.collect()} == want
+    plan = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in x]
+    ordered = [x for x in plan if "lead(_slot" in x or "windowspecdefinition" in x and "_slot" in x.rsplit("], [", 1)[-1]]
+    assert ordered and all("_tb" in x.rsplit("], [", 2)[-2] for x in ordered)
+
+
 def test_long_grid_spans_chunks(spark):
     df = _h(spark, [0, 24 * 20])  # 20 days -> several one-week chunks
     assert joins.missing_hours(df, ["series"]).count() == 24 * 20 - 1
