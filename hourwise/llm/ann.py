@@ -11,7 +11,8 @@ windows find is merged and reranked by the exact inner product in double precisi
 Equal vectors are indexed once, with their k + 1 smallest ids: no result of k rows can hold more of them.
 
 The window is a share of all rows (``window``), since the recall of locality-preserving orders on vectors without
-cluster structure follows the share that is looked at; figures are in the README.  Blocks bound the memory of a task.
+cluster structure follows the share that is looked at; figures are in the README.  Memory of a task is bounded on both
+sides: by blocks of candidates, and by parts of about ``query_rows`` of the queries that visit a block.
 
 Defined results: null vectors, null ids, empty or zero vectors and those with null or non-finite components take no
 part; vectors of another length are never compared; fewer candidates than k: all of them; equal scores: smaller id
@@ -77,9 +78,18 @@ def valid(v: Column) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & ok & F.exists(v, lambda x: x != 0)
 
 
+def in_parts(asking: DataFrame, asked_of: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and candidates with ``_p`` and ``part``: the queries of every block are dealt by their hash into as many
+    parts as the most visited block needs for about ``most`` in each; candidates are repeated for each part."""
+    visitors = asking.groupBy("_d", "_c", "_b").count().agg(F.max("count")).first()[0] or 0
+    n = max(1, ceil(visitors / most))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    return asking.withColumn("_p", F.pmod("h", F.lit(n).cast("long"))), asked_of.withColumn("part", each)
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding",
             curves: int = 16, axes: int = 8, bits: int = 7, window: float = 0.1, block_rows: int = 8192,
-            min_block: int = 512) -> DataFrame:
+            min_block: int = 512, query_rows: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of each row for which ``queries`` (a condition on the id) holds."""
     spark = vectors.sparkSession
     bounded_batches(spark)
@@ -95,7 +105,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
         "h", "v", "ids", F.col("ids")[0].alias("first"), F.coalesce("_q", F.lit(False)).alias("q"))
     index = stored(index, "vectors")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    total, largest = index.agg(F.count("*"), F.max(norm)).first()
+    total, largest, queries_in_all = index.agg(F.count("*"), F.max(norm), F.count_if("q")).first()
     block = max(min_block, min(block_rows, ceil(total / 50)))
     reach = ceil(window * total / 2 / block)
 
@@ -144,6 +154,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
     visits = F.sequence(F.greatest(F.lit(0).cast("long"), F.col("block") - reach), F.least(F.col("last"), F.col("block") + reach))
     asking = ranked.where("q").select(F.col("dim").alias("_d"), F.col("curve").alias("_c"), F.explode(visits).alias("_b"), "h", "first", F.col("v").alias("_w"))
     asked_of = ranked.select("dim", "curve", "block", "ids", "v")
+    if queries_in_all > query_rows:
+        asking, asked_of = in_parts(asking, asked_of, query_rows)
+    else:
+        asking, asked_of = asking.withColumn("_p", F.lit(0).cast("long")), asked_of.withColumn("part", F.lit(0).cast("long"))
 
     def best(key, queries_: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(queries_) or not len(own):
@@ -164,7 +178,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
                 out_scores.append([-e for e, _ in found])
         return pd.DataFrame({"h": queries_["h"], "first": queries_["first"], "ids": out_ids, "scores": out_scores})
 
-    found = asking.groupBy("_d", "_c", "_b").cogroup(asked_of.groupBy("dim", "curve", "block")).applyInPandas(best, "h long, first long, ids array<long>, scores array<double>")
+    found = asking.groupBy("_d", "_c", "_b", "_p").cogroup(asked_of.groupBy("dim", "curve", "block", "part")).applyInPandas(best, "h long, first long, ids array<long>, scores array<double>")
     each = found.select("h", "first", F.explode(F.arrays_zip("ids", "scores")).alias("x")).groupBy("h", "first", F.col("x.ids").alias("id")).agg(F.max("x.scores").alias("score"))
     place = F.row_number().over(Window.partitionBy("h", "first").orderBy(F.desc("score"), "id"))
     top = each.withColumn("n", place).where(F.col("n") <= k + 1).select("h", "first", F.col("id").alias("vec_id"), "score")

@@ -36,6 +36,24 @@ def test_recall_on_small_blocks(spark):
     assert all(abs(r.score - float(np.dot(np.float64(by[r.query_id]), np.float64(by[r.vec_id])))) < 1e-12 for r in got)
 
 
+def test_queries_of_a_block_are_cut_into_parts(spark, monkeypatch):
+    seen, cut = [], ann.in_parts
+
+    def watched(asking, asked_of, most):
+        out = cut(asking, asked_of, most)
+        seen.extend(r["count"] for r in out[0].groupBy("_d", "_c", "_b", "_p").count().collect())
+        return out
+
+    monkeypatch.setattr(ann, "in_parts", watched)
+    df = read(spark, SF, "embeddings")
+    every = F.col("vec_id") % 2 == 0
+    whole = ann.nearest(df, every, curves=2, min_block=16, block_rows=16, window=0.5).collect()
+    assert not seen
+    parts = ann.nearest(df, every, curves=2, min_block=16, block_rows=16, window=0.5, query_rows=10).collect()
+    assert sorted(whole) == sorted(parts) and len(whole) > 0
+    assert 0 < max(seen) <= 30 and sum(seen) > 10 * max(seen)
+
+
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], "x"), (20, [1.0, 0.0], "x"), *[(i, [1.0, 0.0], "x") for i in range(1, 19)], *[(i, [1.0, 0.0], "x") for i in range(21, 39)],
