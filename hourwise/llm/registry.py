@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, decontaminate, importance, lang_id, mixing, near_dup, pii, substring, token_counts, url_filter
+from . import ann, chat, decontaminate, importance, lang_id, mixing, near_dup, pii, substring, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": lang_id.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_near_dedup": near_dup.op10_near_dedup,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_importance": importance.op13_importance,
 }
 
