@@ -36,11 +36,13 @@ from .lang_id import words_of
 
 #: Code points that end a sentence (fixed values): line ends, . ! ? and their counterparts in other scripts.
 ENDS = "\n\r  .!?。！？．؟۔।;።"
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 250_000
 CELLS = 1 << 22  # hashed features
 GRAMS = (4, 5, 6, 7)
 ODD = np.array([2 * (i + 1) * 0x4F1BBCDC + 1 & 0xFFFFFFFF for i in range(max(GRAMS))], dtype=np.uint32)
 
+_ends: list[np.ndarray] = []
+
 
 def _cells(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint32(16))) * np.uint32(0x7FEB352D)
@@ -53,9 +55,10 @@ class Sentences:
 
     def __init__(self, texts: list[str]):
         w = words_of(texts)
-        ends = np.zeros(0x110000, dtype=bool)
-        ends[[ord(c) for c in ENDS]] = True
-        before = np.cumsum(ends[w.cp])[w.start]
+        if not _ends:
+            _ends.append(np.zeros(0x110000, dtype=bool))
+            _ends[0][[ord(c) for c in ENDS]] = True
+        before = np.cumsum(_ends[0][w.cp])[w.start]
         new = np.ones(len(w.start), dtype=bool)
         new[1:] = (before[1:] != before[:-1]) | (w.text[1:] != w.text[:-1])
         first = np.flatnonzero(new)
@@ -69,7 +72,8 @@ class Sentences:
     def features(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(sentence, feature) of every n-gram and word, with repeats; ``keep`` maps cells to features (-1: none)."""
         w = self.words
-        x = np.concatenate((np.zeros(1, w.folded.dtype), w.folded))  # a word's end before the first word, too
+        end = np.zeros(max(GRAMS), w.folded.dtype)
+        x = np.concatenate((end[:1], w.folded, end))  # a word's end before the first word, too
         sentence = np.full(len(x), -1, dtype=np.int64)  # of each word character
         sentence[x != 0] = np.repeat(self.of_word, w.end - w.start)
         owners, cells = [], []
@@ -82,17 +86,16 @@ class Sentences:
             owners.append(owner)
             cells.append(cell.astype(np.int64))
 
-        for n in GRAMS:  # inner characters are a word's; the first and last may be its ends
-            m = len(x) - n + 1
-            if m <= 0:
-                continue
-            inner = sentence[1:m + 1] >= 0
-            for j in range(2, n - 1):
-                inner &= x[j:m + j] != 0
-            at = np.flatnonzero(inner)
-            h = np.full(len(at), n, dtype=np.uint32)
-            for j in range(n):
-                h = (h + x[at + j]) * ODD[j]
+        # inner characters are a word's; the first and last may be its ends; a longer gram extends a shorter one
+        at = np.flatnonzero((x[1:-max(GRAMS)] != 0) & (x[2:1 - max(GRAMS)] != 0))
+        h = np.zeros(len(at), dtype=np.uint32)
+        for j in range(GRAMS[0] - 1):
+            h = (h + x[at + j]) * ODD[j]
+        for n in GRAMS:
+            if n > GRAMS[0]:
+                on = np.flatnonzero(x[at + n - 2])
+                at, h = at[on], h[on]
+            h = (h + x[at + n - 1]) * ODD[n - 1]
             add(sentence[at + 1], _cells(h))
         if len(w.start):
             up, down = powers(len(x) + 1)
@@ -155,7 +158,7 @@ def chosen_features(rows: DataFrame, features: int, min_gain: float) -> DataFram
                 owner, cell = s.features()
                 doc, cell = distinct(s.text[owner], cell, CELLS)
                 for c in (0, 1):
-                    seen[c] += np.bincount(cell[y[part][doc] == c], minlength=CELLS).astype(np.int32)
+                    np.add.at(seen[c], cell[y[part][doc] == c], np.int32(1))
             for c in (0, 1):
                 n[c] += int((y == c).sum())
         at = np.flatnonzero(seen.any(axis=0))
