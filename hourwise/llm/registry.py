@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, decontaminate, importance, lang_id, mixing, near_dup, pii, substring, token_counts, toxicity, url_filter
+from . import ann, chat, collocations, decontaminate, importance, lang_id, mixing, near_dup, pii, substring, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_language_id": lang_id.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_near_dedup": near_dup.op10_near_dedup,
+    "op11_collocations": collocations.op11_collocations,
     "op12_toxicity": toxicity.op12_toxicity,
     "op13_importance": importance.op13_importance,
 }
@@ -25,4 +26,5 @@ ORACLES = {
     "op8_url_filter": url_filter.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
     "op10_near_dedup": near_dup.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
