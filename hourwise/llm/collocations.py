@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import sorted_index
 from .common import BASE, LOWER, RollingHash, bounded_batches, chunks, mixed, read, runs, stored
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 TILE = 1 << 11  # numbers a side
-BUFFER = 4 << 20  # cells a task collects before it counts them
+BUFFER = 2 << 20  # cells a task collects before it counts them
 RANKED = (1 << 18, 1 << 20)  # numbers of words, and of phrases of a level
 MARKS = 1 << 24  # bits of the table of frequent phrases without a number
 SHIFT = 32
@@ -61,7 +63,12 @@ class Words:
         self.follows[1:] = piece[1:] == piece[:-1]
         offsets = np.concatenate(([0], np.cumsum(end - start)))
         self.text = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[gap == 0]))
-        self.hash = mixed(RollingHash(data)(start, end)) if len(start) else np.zeros(0, np.uint64)
+        self.of = data, start, end
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        data, start, end = self.of
+        return mixed(RollingHash(data)(start, end)) if len(start) else np.zeros(0, np.uint64)
 
 
 def phrase_hash(hashes: list[np.ndarray]) -> np.ndarray:
@@ -81,8 +88,6 @@ class Level:
     marks: np.ndarray | None = None  # bits; None: every frequent phrase has a number
 
     def marked(self, h: np.ndarray) -> np.ndarray:
-        if self.marks is None:
-            return np.zeros(len(h), dtype=bool)
         bit = (h % np.uint64(MARKS)).astype(np.int64)
         return (self.marks[bit >> 3] >> (bit & 7)) & 1 == 1
 
@@ -157,16 +162,15 @@ def marks_of(phrases: DataFrame) -> np.ndarray:
 def word_level(words: DataFrame, most: int) -> tuple[Level, DataFrame]:
     """Numbers of the words by falling frequency, and the table (id, lang, phrase, f) of them."""
     top, least = numbered(words, most)
-    rows = top.orderBy(F.col("f").desc(), "lang", "phrase").toArrow()  # at most ``most`` words
-    ids = np.arange(len(rows))
-    lang, word = rows["lang"].combine_chunks(), rows["phrase"].combine_chunks().cast(pa.large_string())
+    table = stored(sorted_index(top, [F.col("f").desc(), "lang", "phrase"], index_col="id"), "numbers")
+    rows = table.select("id", "lang", "phrase").toArrow()  # at most ``most`` words
+    ids, lang, word = rows["id"].to_numpy(), rows["lang"].combine_chunks(), rows["phrase"].combine_chunks().cast(pa.large_string())
     level = Level()
     for k in pc.unique(lang).to_pylist():
-        own = pc.equal(lang, k).to_numpy(zero_copy_only=False)
-        level.words[k], level.numbers[k] = word.filter(pa.array(own)), ids[own]
+        own = pc.equal(lang, k)
+        level.words[k], level.numbers[k] = word.filter(own), ids[own.to_numpy(zero_copy_only=False)]
     if least is not None:
         level.marks = marks_of(words.where(frequency_class(F.col("f")) <= least))
-    table = words.sparkSession.createDataFrame(pa.table({"id": ids, "lang": lang, "phrase": rows["phrase"], "f": rows["f"]}))
     return level, table
 
 
@@ -174,13 +178,13 @@ def phrase_level(phrases: DataFrame, most: int) -> tuple[Level, DataFrame]:
     """The same for longer phrases (lang, phrase, f, cell): what has a cell may have a number, the rest is marked."""
     with_cell = phrases.where("cell IS NOT NULL")
     top, least = numbered(with_cell, most)
-    rows = top.select("cell", "f").orderBy(F.col("f").desc(), "cell").toArrow()
-    level = Level(cells=rows["cell"].to_numpy().astype(np.int64))
+    table = stored(sorted_index(top, [F.col("f").desc(), "cell"], index_col="id"), "numbers")
+    rows = table.select("id", "cell").toArrow()  # at most ``most`` pairs of integers
+    level = Level(cells=rows["cell"].to_numpy()[np.argsort(rows["id"].to_numpy())])
     rest = phrases.where(F.col("cell").isNull() | (frequency_class(F.col("f")) <= least) if least is not None else F.col("cell").isNull())
     if not rest.isEmpty():
         level.marks = marks_of(rest.select("phrase"))
-    ids = phrases.sparkSession.createDataFrame(pa.table({"id": np.arange(len(rows)), "cell": level.cells}))
-    return level, ids
+    return level, table
 
 
 class Tiles:
@@ -239,7 +243,9 @@ def pair_counts(rows: DataFrame, levels: list[Level], length: int, min_count: in
         for batch in batches:
             for lang, w in _by_language(batch):
                 number = _numbers(levels[0].words.get(lang), levels[0].numbers.get(lang), w.text)
-                known = (number >= 0) | levels[0].marked(phrase_hash([w.hash]))
+                known = number >= 0
+                if levels[0].marks is not None:
+                    known |= levels[0].marked(phrase_hash([w.hash]))
                 word = number
                 for m in range(2, length + 1):  # phrases by their last word; both their parts of m - 1 words are known
                     at = np.flatnonzero(known[:-1] & known[1:] & w.follows[1:]) + 1
@@ -299,10 +305,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
         phrases = stored(phrases.unionByName(texts), f"phrases-{m}")
         known = known.unionByName(phrases.select("lang", "phrase", "f", F.lit(m).alias("m")))
         if m < longest:
-            level, numbers = phrase_level(phrases, ranked[1])
+            level, ids = phrase_level(phrases, ranked[1])
             levels.append(level)
-            numbers = numbers.select(F.col("id"), F.col("cell").alias("_cell"))
-            ids = phrases.join(numbers, F.col("cell") == F.col("_cell")).select("id", "lang", "phrase")
     return known, totals
 
 
@@ -355,16 +359,18 @@ WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\
     unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
 runs AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
   FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 4) AS t(m) WHERE len(w) >= m)),
-f AS (SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
-cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
-cut AS (SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
-  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
-  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+key AS MATERIALIZED (SELECT lang || chr(9) || phrase AS key, f FROM f WHERE f >= 10),
+cand AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+parts AS MATERIALIZED (SELECT lang, phrase, a, k, lang || chr(9) || array_to_string(w[1:k], ' ') AS first, lang || chr(9) || array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+cut AS (SELECT lang, phrase, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM parts JOIN key x ON x.key = first JOIN key y ON y.key = rest),
 best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-dropped AS (SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
-  FROM cand WHERE m = 3) b ON s.lang = b.lang AND s.phrase = b.phrase WHERE 100 * b.a >= 50 * s.a)
+longer AS (SELECT lang, phrase, max(a) AS b FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+  FROM cand WHERE m = 3) GROUP BY ALL),
+dropped AS (SELECT lang, phrase FROM cand JOIN longer USING (lang, phrase) WHERE m = 2 AND 100 * b >= 50 * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
 FROM best ANTI JOIN dropped USING (lang, phrase) JOIN n USING (lang)
 QUALIFY rank <= 2000
