@@ -255,6 +255,13 @@ c AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, coun
 SELECT strftime(mo.month_start, '%Y%m01') AS "partition", mo.month_start, coalesce(c.n_orders, 0) AS n_orders
 FROM mo LEFT JOIN c ON mo.month_start = c.month_start""",
     "sink_append_month": "SELECT strftime(o_orderdate, '%Y%m') AS \"month\", count(*) AS n FROM orders GROUP BY 1",
+    "sink_merge_month": f"""SELECT o_orderkey, o_orderstatus, o_orderdate, strftime(o_orderdate, '%Y%m') AS "month",
+  {r6("o_totalprice + CASE WHEN o_orderstatus = 'F' AND year(o_orderdate) = 1996 THEN 1 ELSE 0 END")} AS o_totalprice FROM orders""",
+    "src_zip_ingest": f"""SELECT o_orderkey, o_orderdate, {r6("o_totalprice")} AS o_totalprice, o_orderpriority,
+  strftime(o_orderdate, '%Y%m') AS archive, 'orders-' || o_orderstatus || '.csv' AS member FROM orders""",
+    "pipe_collect": """WITH mo AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-03-01', INTERVAL 1 MONTH)) AS DATE) AS month_start)
+SELECT strftime(month_start, '%Y%m01') AS "partition", month_start FROM mo
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE month(o_orderdate) != 6 AND o_orderdate < TIMESTAMP '2001-01-01' AND date_trunc('month', o_orderdate) = month_start)""",
     "src_time_range_scan": f"""SELECT {EVENTS_COLS} FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 23:59:59.999999'""",
     # projections / filters

@@ -19,7 +19,7 @@ from ..operators import (calendar_ops, clean, eda, fill, joins, metrics, monitor
                          thresholds, timefeatures)
 from ..plans import calendar_features, features, forecast
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, zips
 from . import common as C
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,46 @@ def sink_append_month(spark, sf):
     return back.groupBy("month").agg(F.count(F.lit(1)).alias("n"))
 
 
+def sink_merge_month(spark, sf):
+    """S4 keyed: two zones of every month are delivered one after the other; the first zone's year 1996 is delivered
+    again with new prices, one row of it twice with different prices (the greater stays)."""
+    o = C.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    path = scratch_path(spark, "orders_merged")
+    kw = dict(ts="o_orderdate", keys=["o_orderkey", "o_orderstatus"], order=["o_totalprice"])
+    first, rest = o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus != 'F' OR o_orderstatus IS NULL")
+    files.write_month_partitions(first, path, **kw)
+    files.write_month_partitions(rest, path, **kw)
+    files.write_month_partitions(rest, path, **kw)  # a repeated delivery changes nothing
+    again = first.filter(F.year("o_orderdate") == 1996)
+    raised = again.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    files.write_month_partitions(raised.unionByName(again), path, **kw)
+    return C.rounded(files.read_month_partitions(spark, path).select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice", "month"))
+
+
+def src_zip_ingest(spark, sf):
+    """The orders landed as one archive a month with one CSV member a status, read back by member."""
+    o = C.table(spark, sf, "orders")
+    land = scratch_path(spark, "orders_zip")
+    cols = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"]
+    zips.write_zip_csv(o.select(*cols, F.date_format("o_orderdate", "yyyyMM").alias("a"), F.concat_ws("-", F.lit("orders"), "o_orderstatus").alias("m")), land, "a", "m")
+    rows = zips.read_zip_csv(spark, f"{land}/*.zip", o.select(*cols).schema)
+    name = F.regexp_extract("source_member", r"([0-9]+)\.zip!(.*)$", 1), F.regexp_extract("source_member", r"([0-9]+)\.zip!(.*)$", 2)
+    return C.rounded(rows.select(*cols, name[0].alias("archive"), name[1].alias("member")))
+
+
+def pipe_collect(spark, sf):
+    """Monthly archives of the orders, without those of June, collected into month partitions; the months missing."""
+    from ..plans import collect
+
+    o = C.table(spark, sf, "orders").filter((F.month("o_orderdate") != 6) & (F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz")))
+    land, target = (scratch_path(spark, n) for n in ("archives", "collected"))
+    raw = o.select(F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss").alias("Time Stamp"), F.lit("EST").alias("Time Zone"), F.col("o_orderpriority").alias("Name"),
+                   F.col("o_orderkey").cast("string").alias("PTID"), F.col("o_totalprice").alias("Integrated Load"),
+                   F.date_format("o_orderdate", "yyyyMM01").alias("a"), F.date_format("o_orderdate", "yyyyMMdd").alias("m"))
+    zips.write_zip_csv(raw.withColumn("m", F.substring("m", 1, 7)), land, "a", "m")
+    return collect.collect_archives(spark, f"{land}/*.zip", target, start="19950101", end="20010301")
+
+
 def set_union_months(spark, sf):
     o = C.table(spark, sf, "orders")
     path = scratch_path(spark, "orders_months")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.nulls import normalise_nan
+from . import months
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, *, header: bool = True,
@@ -47,53 +47,29 @@ def month_partitions(bounds: DataFrame, start: str = "start", end: str = "end")
     return m.select(F.date_format("month_start", "yyyyMM01").alias("partition"), "month_start")
 
 
-def with_month(df: DataFrame, ts: str, out: str = "month") -> DataFrame:
-    return df.withColumn(out, F.date_format(F.col(ts), "yyyyMM"))
-
-
-def write_month_partitions(df: DataFrame, path: str, ts: str, month_col: str = "month", keys: Sequence[str] | None = None) -> None:
+def write_month_partitions(df: DataFrame, path: str, ts: str, month_col: str = "month", keys: Sequence[str] | None = None,
+                           order: Sequence[str] = ()) -> None:
     """Write rows under ``month=yyyyMM`` partitions.
 
-    With ``keys`` the rows are merged with the stored ones of the same months: a stored row stays unless a delivered
-    row has equal keys (NULL equals NULL), so a second delivery of a month adds to the first, and a repeated one
-    changes nothing.  Without ``keys`` a delivery is the whole month and replaces it.  Other months are untouched
-    either way (dynamic partition overwrite).  The ``rebalance`` hint lets AQE group rows by month into right-sized
-    tasks: few files per month, and a hot month is split rather than written by one task.
+    With ``keys`` the rows are merged with the stored ones of the same months (``months.upsert_months``): a second
+    delivery of a month adds to the first, and a repeated one changes nothing.  Without ``keys`` a delivery is the
+    whole month and replaces it.  Other months are untouched, and with keys unread, either way (dynamic partition
+    overwrite).  The ``rebalance`` hint lets AQE group rows by month into right-sized tasks: few files per month, and a
+    hot month is split rather than written by one task.
     """
-    new = with_month(df, ts, month_col)
-    stored = _stored_months(new.sparkSession, path, month_col) if keys else None
-    if stored is not None:
-        from ..operators.ordered import null_safe_join
-
-        touched = null_safe_join(stored, new.select(month_col).distinct(), [month_col], how="left_semi")
-        kept = null_safe_join(touched, new.select(*keys), list(keys), how="left_anti")
-        new = kept.unionByName(new, allowMissingColumns=True)
-        # the months are rewritten from their own files, so the merged rows are materialised first
-        from ..session import materialized
-
-        new = materialized(new, "merged-months")
-    (new.hint("rebalance", month_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(month_col).parquet(path))
-
-
-def _stored_months(spark: SparkSession, path: str, month_col: str) -> DataFrame | None:
-    """The table at ``path``, or None where nothing was written yet."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return df.withColumn(month_col, F.col(month_col).cast("string"))
+    if keys:
+        months.upsert_months(df, path, ts, keys, order=order, month=month_col)
+    else:
+        months._write(months.with_month(df, ts, month_col), path, month_col, "overwrite")
 
 
-def read_month_partitions(spark: SparkSession, path: str, months: Sequence[str] | None = None,
+def read_month_partitions(spark: SparkSession, path: str, only: Sequence[str] | None = None,
                           month_col: str = "month") -> DataFrame:
-    """One scan over the chosen month partitions (all when ``months`` is None), month kept as text."""
-    if months is None:
+    """One scan over the chosen month partitions (all when ``only`` is None), month kept as text."""
+    if only is None:
         df = spark.read.parquet(path)
     else:
-        df = spark.read.option("basePath", path).parquet(*[f"{path}/{month_col}={m}" for m in months])
+        df = spark.read.option("basePath", path).parquet(*[f"{path}/{month_col}={m}" for m in only])
     return normalise_nan(df.withColumn(month_col, F.col(month_col).cast("string")))
 
 

@@ -103,3 +103,41 @@ def test_union_frames_by_name(spark):
     b = spark.createDataFrame([("y", 2, 3.0)], "s string, id int, extra double")
     out = files.union_frames([a, b]).orderBy("id").collect()
     assert [(r["id"], r["s"], r["extra"]) for r in out] == [(1, "x", None), (2, "y", 3.0)]
+
+
+def test_one_task_for_each_member(spark):
+    land = _fresh("members")
+    _write_zip_month(land, dt.date(2024, 1, 1))
+    df = zips.read_zip_csv(spark, land, collect.LOAD_RAW_SCHEMA)
+    per_task = df.groupBy(F.spark_partition_id().alias("p"), "source_member").count().collect()
+    assert len(per_task) == 2 and len({r.p for r in per_task}) == 2 and {r["count"] for r in per_task} == {48}
+
+
+def test_members_of_other_shapes(spark):
+    land, conf = _fresh("shapes"), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with zipfile.ZipFile(os.path.join(land, "x.zip"), "w") as zf:
+        zf.writestr("empty.csv", "")
+        zf.writestr("header.csv", "a,b\n")
+        zf.writestr("quoted.csv", 'more,b,a\n1,"x, ""y""\nz",NaN\n2,,5\n')
+        zf.writestr("lacks.csv", "a\n7\n")
+        zf.writestr("notes.txt", "a\n9\n")
+        zf.writestr("large.csv", "a,b\n" + "".join(f"{i},{'w' * 50}\n" for i in range(60000)))
+    schema = StructType([StructField("a", DoubleType()), StructField("b", StringType())])
+    df = zips.read_zip_csv(spark, f"file:{land}/*.zip", schema)
+    small = df.filter("source_member NOT LIKE '%large%'")
+    assert sorted(((r.a, r.b) for r in small.collect()), key=str) == sorted([(None, 'x, "y"\nz'), (5.0, None), (7.0, None)], key=str)
+    big = df.filter("source_member LIKE '%large%'").agg(F.count("b"), F.sum("a")).first()
+    assert tuple(big) == (60000, 60000 * 59999 / 2)
+    assert zips.read_zip_csv(spark, f"{land}/none*.zip", schema).count() == 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == conf  # no setting is left behind
+
+
+def test_zip_sink_round_trip(spark):
+    land = _fresh("sink")
+    rows = [(f"2024{m:02d}", f"d{d}", m * d, None if d == 2 else f'text "{d}", {m}') for m in (1, 2, 3) for d in (1, 2, 3)]
+    df = spark.createDataFrame(rows * 2, "a string, m string, n int, t string")
+    assert zips.write_zip_csv(df, land, "a", "m") == 3 == zips.write_zip_csv(df, land, "a", "m")
+    assert sorted(os.listdir(land)) == ["202401.zip", "202402.zip", "202403.zip"]
+    back = zips.read_zip_csv(spark, land, df.select("n", "t").schema)
+    assert sorted(((os.path.basename(r.source_member), r.n, r.t) for r in back.collect()), key=str) == sorted(
+        [(f"{a}.zip!{m}.csv", n, t) for a, m, n, t in rows * 2], key=str)
