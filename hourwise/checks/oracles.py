@@ -474,6 +474,9 @@ p AS (SELECT series, "Timestamp", CASE WHEN i >= floor(n * 0.8) THEN 'test' WHEN
 SELECT part, count(*) AS n, min(CAST("Timestamp" AS DATE)) AS first_date, max(CAST("Timestamp" AS DATE)) AS last_date,
   14 AS n_features FROM p GROUP BY part"""
 
+_TEST_ROWS = _SPLIT.replace("SELECT series, \"Timestamp\" FROM t", "SELECT series, \"Timestamp\", target FROM t").replace(
+    "p AS (SELECT series, \"Timestamp\", CASE", "p AS (SELECT series, \"Timestamp\", target, CASE").split("SELECT part, count")[0]
+
 _NULL_KEY = """h AS (SELECT CASE WHEN event_type <> 'view' THEN event_type END AS series, date_trunc('hour', ts) AS "Timestamp",
   avg(value) AS "Load" FROM events GROUP BY 1, 2)"""
 
@@ -485,6 +488,9 @@ f AS (SELECT s.series, s.fold, s."Load", (SELECT avg(p."Load") FROM s p WHERE p.
 ORACLES.update({
     "pipe_features_raw": _RAW_FEATURES,
     "fcst_split_report": _SPLIT,
+    "fcst_rows": _TEST_ROWS + f"SELECT series, \"Timestamp\", {r6('target')} AS \"Load_target\", true AS has_prediction FROM p WHERE part = 'test'",
+    "fcst_metrics": _TEST_ROWS + "SELECT count(*) AS n, count(*) FILTER (WHERE target = 0) AS n_zero_actual, true AS mse_ok, true AS rmse_ok, "
+                    "true AS mae_ok, true AS mape_ok, true AS rmse_bounded FROM p WHERE part = 'test'",
     "ml_walk_forward_refit": f"WITH {H}, {_REFIT}" + _metrics("f", "series, fold"),
     "smp_split_null_ids": """SELECT event_id, event_type, CASE WHEN event_id % 10 <> 0 THEN event_id END AS maybe_id, rn < ceil(n * 0.2) AS is_test FROM (
   SELECT event_id, event_type, row_number() OVER (ORDER BY md5(CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS VARCHAR) ELSE chr(92) || 'N' END

@@ -514,7 +514,7 @@ def ml_gbt_random_split(spark, sf):
 
 
 def ml_gbt_early_stop(spark, sf):
-    res = forecast.forecast_as_of(_features(spark, sf), None, max_iter=200, max_depth=6, patience=20)
+    res = forecast.forecast_as_of(_features(spark, sf), None, max_iter=200, max_depth=6)
     return res.predictions.select(KEY, TS, "Load_target", "prediction")
 
 
@@ -525,10 +525,33 @@ def topk_importance(spark, sf):
 
 
 def pipe_forecast_asof(spark, sf):
-    res = forecast.forecast_as_of(_features(spark, sf), "2024-01-25", max_iter=200, max_depth=6, patience=20)
+    res = forecast.forecast_as_of(_features(spark, sf), "2024-01-25", max_iter=200, max_depth=6)
     return res.metrics
 
 
+def fcst_rows(spark, sf):
+    """M7: what is forecast: every test row once, with its actual value and a prediction."""
+    res = forecast.forecast_as_of(_features(spark, sf), "2024-01-25", max_iter=10, max_depth=4)
+    p = res.predictions
+    return C.rounded(p.select(KEY, TS, "Load_target", (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("has_prediction")))
+
+
+def fcst_metrics(spark, sf):
+    """The job's metrics against the same figures from its stored predictions by plain sums."""
+    res = forecast.forecast_as_of(_features(spark, sf), "2024-01-25", max_iter=10, max_depth=4)
+    e, a = F.col("Load_target") - F.col("prediction"), F.col("Load_target")
+    own = res.predictions.agg(F.sum(e * e).alias("se"), F.sum(F.abs(e)).alias("ae"), F.sum(F.when(a != 0, F.abs(e / a))).alias("pe"),
+                              F.sum((a != 0).cast("int")).alias("nz"), F.count(e).alias("k"), F.stddev_pop(a).alias("sd"))
+
+    def near(x, y):
+        return F.abs(x - y) <= 1e-9 * F.abs(y)
+
+    return res.metrics.crossJoin(F.broadcast(own)).select(  # one row each
+        "n", "n_zero_actual", near(F.col("mse"), F.col("se") / F.col("k")).alias("mse_ok"), near(F.col("rmse"), F.sqrt(F.col("se") / F.col("k"))).alias("rmse_ok"),
+        near(F.col("mae"), F.col("ae") / F.col("k")).alias("mae_ok"), near(F.col("mape"), 100 * F.col("pe") / F.col("nz")).alias("mape_ok"),
+        (F.col("rmse") < 2 * F.col("sd")).alias("rmse_bounded"))
+
+
 def pipe_features(spark, sf):
     """The full feature table for every hourly series."""
     h = _h(spark, sf)

@@ -1,22 +1,24 @@
 """Gradient-boosted forecasts with Spark ML (M3-M6).
 
-Training runs as Spark jobs over the executors; only metrics and feature
-importances (one value per feature) come back to the driver.  Spark's GBT
-rejects NULL/NaN features, so missing values are imputed with the training
-part's median (``Imputer``) and the series key is indexed as a category.
+Training runs as Spark jobs over the executors; only metrics and feature importances (one value per feature) come back
+to the driver.  Spark's trees reject NULL/NaN features: missing values are imputed with the training part's median, and
+an indicator column beside each feature that has missing values in training says which were.  The series key is one
+numeric feature, the series' past mean (``encoding``), so bins do not grow with the number of series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialized
+from . import encoding
 from .clean import numeric_columns
 
 # Columns that look ahead of the current row (non-causal); excluded from features unless asked.
@@ -29,6 +31,8 @@ class Fitted:
     features: list[str]
     key: str | None = None
     best_iteration: int | None = None
+    missing: list[str] = field(default_factory=list)  # features with an indicator
+    means: encoding.KeyMeans | None = None
 
     @property
     def gbt(self) -> GBTRegressionModel:
@@ -46,71 +50,80 @@ def feature_columns(df: DataFrame, target: str, exclude: Sequence[str] = (), *,
     return [c for c in numeric_columns(df) if c not in ex]
 
 
-def _pipeline(features: Sequence[str], key: str | None, label: str, **gbt) -> Pipeline:
-    imputed = [f"{c}__imp" for c in features]
-    stages = [Imputer(strategy="median", inputCols=list(features), outputCols=imputed)]
-    cols = list(imputed)
-    if key:
-        stages.append(StringIndexer(inputCol=key, outputCol=f"{key}__idx", handleInvalid="keep"))
-        cols.append(f"{key}__idx")
-    stages.append(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"))
-    stages.append(GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **gbt))
-    return Pipeline(stages=stages)
+def _cast_features(df: DataFrame, features: Sequence[str], missing: Sequence[str] = ()) -> DataFrame:
+    out = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in features})
+    return out.withColumns({f"{c}__missing": F.col(f"`{c}`").isNull().cast("double") for c in missing})
 
 
-def _cast_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in features})
+def _missing(df: DataFrame, features: Sequence[str]) -> list[str]:
+    """Features with a missing value in ``df``."""
+    if not features:
+        return []
+    row = df.agg(*[F.max(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(features)]).first()
+    return [c for i, c in enumerate(features) if row[i]]
 
 
-def fit_gbt(train: DataFrame, label: str, features: Sequence[str], *, key: str | None = "series", max_iter: int = 100,
-            max_depth: int = 4, step_size: float = 0.1, seed: int = 42) -> Fitted:
+def _fit(train: DataFrame, valid: DataFrame | None, label: str, features: Sequence[str], key: str | None, ts: str, **gbt) -> Fitted:
+    """Imputer, assembler and trees; ``valid`` rows only decide when boosting stops."""
+    features = list(features)
+    fitted = Fitted(None, features, key, missing=_missing(train, features))
+    rows = _cast_features(train, features, fitted.missing)
+    tested = _cast_features(valid, features, fitted.missing) if valid is not None else None
+    inputs = list(features)
+    if key:
+        name = f"{key}__mean"
+        fitted.means = encoding.key_means(rows, [key], label, name)
+        rows = encoding.past_key_means(rows, [key], ts, label, name)
+        tested = fitted.means.add(tested) if tested is not None else None
+        inputs.append(name)
+    imputer = Imputer(strategy="median", inputCols=inputs, outputCols=[f"{c}__imp" for c in inputs]).fit(rows)
+    assembler = VectorAssembler(inputCols=[f"{c}__imp" for c in inputs] + [f"{c}__missing" for c in fitted.missing], outputCol="features", handleInvalid="keep")
+    trees = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", lossType="squared", maxBins=32, **gbt)
+    if tested is not None:
+        rows = rows.withColumn("__valid", F.lit(False)).unionByName(tested.withColumn("__valid", F.lit(True)), allowMissingColumns=True)
+        trees.setValidationIndicatorCol("__valid")
+    ready = assembler.transform(imputer.transform(rows)).select("features", F.col(f"`{label}`").cast("double").alias(label), *(["__valid"] if tested is not None else []))
+    # boosting reads the rows in every round: the joins and the imputer run once
+    model = trees.fit(materialized(ready.where(F.col(f"`{label}`").isNotNull()), "tree-rows"))
+    fitted.model = PipelineModel(stages=[imputer, assembler, model])
+    return fitted
+
+
+def fit_gbt(train: DataFrame, label: str, features: Sequence[str], *, key: str | None = "series", ts: str = "Timestamp",
+            max_iter: int = 100, max_depth: int = 4, step_size: float = 0.1, seed: int = 42) -> Fitted:
     """M3: boosted trees with squared loss."""
-    # the indexed key is a category: trees need a bin for each series (and one for unseen ones)
-    bins = max(32, train.select(F.count_distinct(key)).first()[0] + 2) if key else 32
-    pipe = _pipeline(features, key, label, maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed,
-                     lossType="squared", maxBins=bins)
-    return Fitted(pipe.fit(_cast_features(train, features)), list(features), key)
+    return _fit(train, None, label, features, key, ts, maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed)
 
 
 def fit_gbt_early_stop(train: DataFrame, valid: DataFrame, label: str, features: Sequence[str], *, key: str | None = "series",
-                       max_iter: int = 200, max_depth: int = 6, step_size: float = 0.1, patience: int = 20,
+                       ts: str = "Timestamp", max_iter: int = 200, max_depth: int = 6, step_size: float = 0.1, tol: float = 0.0,
                        seed: int = 42) -> Fitted:
-    """M4: fit ``max_iter`` rounds, score every round on ``valid``, and keep the rounds up to the best one
-    before ``patience`` rounds without improvement: the model is refitted with that many rounds, which grows the
-    same trees (boosting is sequential and seeded)."""
-    full = fit_gbt(train, label, features, key=key, max_iter=max_iter, max_depth=max_depth, step_size=step_size, seed=seed)
-    prepared = full.model.stages[:-1]
-    v = _cast_features(valid, features)
-    for st in prepared:
-        v = st.transform(v)
-    errors = full.gbt.evaluateEachIteration(v.select("features", label), "squared")
-    best, best_err, since = 0, float("inf"), 0
-    for i, e in enumerate(errors):
-        if e < best_err:
-            best, best_err, since = i, e, 0
-        else:
-            since += 1
-            if since >= patience:
-                break
-    if best + 1 < len(errors):
-        full = fit_gbt(train, label, features, key=key, max_iter=best + 1, max_depth=max_depth, step_size=step_size, seed=seed)
-    full.best_iteration = best + 1
-    return full
+    """M4: boosting stops inside training, in the first round that does not lower the error on ``valid`` by more than
+    ``tol`` of it, and the rounds up to the best one are kept: no round is fitted twice and none after the stop."""
+    fitted = _fit(train, valid, label, features, key, ts, maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed, validationTol=tol)
+    fitted.best_iteration = fitted.n_trees
+    return fitted
 
 
 def predict(fitted: Fitted, df: DataFrame) -> DataFrame:
     """M5: add ``prediction``; helper columns of the pipeline are dropped."""
-    out = fitted.model.transform(_cast_features(df, fitted.features))
-    helper = [c for c in out.columns if c.endswith("__imp") or c.endswith("__idx") or c == "features"]
+    rows = _cast_features(df, fitted.features, fitted.missing)
+    if fitted.means is not None:
+        rows = fitted.means.add(rows)
+    out = fitted.model.transform(rows)
+    helper = [c for c in out.columns if c.endswith(("__imp", "__missing", "__mean")) or c == "features"]
     return out.drop(*helper)
 
 
 def importances(fitted: Fitted, spark) -> DataFrame:
-    """M6: ``(feature, importance)`` from the fitted trees (normalised to sum 1), highest first."""
-    names = list(fitted.features) + ([fitted.key] if fitted.key else [])
+    """M6: ``(feature, importance)`` from the fitted trees (normalised to sum 1), highest first; an indicator counts for
+    its feature."""
+    names = list(fitted.features) + ([fitted.key] if fitted.key else []) + fitted.missing
     vec = fitted.gbt.featureImportances.toArray().tolist()
-    rows = [(n, float(v)) for n, v in zip(names, vec)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    total = dict.fromkeys(names, 0.0)
+    for n, v in zip(names, vec):
+        total[n] += float(v)
+    return spark.createDataFrame(list(total.items()), "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
 def top_importances(fitted: Fitted, spark, n: int = 10) -> DataFrame:

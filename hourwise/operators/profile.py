@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, MapType, NumericType, StringType, StructType
 
 from .clean import flag_columns, numeric_columns
 from .quantiles import column_quantiles
@@ -67,16 +68,31 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, *, approx: boo
     return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
+def _as_text(df: DataFrame, c: str):
+    """A column's values as text, different for different values."""
+    t = df.schema[c].dataType
+    if isinstance(t, (FloatType, DoubleType)):
+        return (_q(c) + F.lit(0).cast(t)).cast("string")  # -0.0 is 0.0
+    if isinstance(t, BinaryType):
+        return F.hex(_q(c))
+    return F.to_json(_q(c)) if isinstance(t, (ArrayType, MapType, StructType)) else _q(c).cast("string")
+
+
+def value_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, freq)`` of every non-NULL value, as text: one aggregate over (column, value) for all columns,
+    combined before its shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value")) for c in columns])
+    long = df.select(F.explode(pairs).alias("p")).select("p.*")
+    return long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
+
+
 def top_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Most frequent non-NULL value per column with its frequency; ties -> smallest value.
+    """Number of distinct values and most frequent non-NULL value per column with its frequency; ties -> smallest value.
 
-    ``(column, top, freq)``; one count aggregate over (column, value) then a
-    top-1 per column, planned as a partial limit before the shuffle.
-    """
-    long = df.select(*[_q(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    vc = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
-    w = Window.partitionBy("column").orderBy(F.desc("freq"), F.asc("value"))
-    return vc.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("column", F.col("value").alias("top"), "freq")
+    ``(column, unique, top, freq)`` from the value table, by partial minima: no column's values are sorted."""
+    first = F.min(F.struct((-F.col("freq")).alias("f"), "value"))
+    out = value_table(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("unique"), first.alias("t"))
+    return out.select("column", "unique", F.col("t.value").alias("top"), (-F.col("t.f")).alias("freq"))
 
 
 def describe_all(df: DataFrame, *, approx: bool = False) -> DataFrame:
@@ -86,23 +102,43 @@ def describe_all(df: DataFrame, *, approx: bool = False) -> DataFrame:
     counts = df.agg(*[F.count(_q(c)).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "count")
     parts = [counts]
     if txt:
-        uniq = df.agg(*[F.count_distinct(_q(c)).alias(c) for c in txt]).unpivot([], txt, "column", "unique")
-        parts += [uniq, top_values(df, txt)]
+        parts.append(top_values(df, txt))
     if num:
         parts.append(describe(df, num, approx=approx).drop("count"))
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, "column", "left")
+    if txt:  # a text column without a value
+        out = out.withColumn("unique", F.coalesce("unique", F.when(F.col("column").isin(txt), F.lit(0))))
     order = ["column", "count"] + (["unique", "top", "freq"] if txt else []) + (
         ["mean", "std", "min", "q25", "q50", "q75", "max"] if num else [])
     return out.select(*order)
 
 
 def nunique(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
-    """``(column, nunique)``, missing values excluded."""
+    """``(column, nunique)``, missing values excluded.
+
+    Exact counts are the rows of the value table (no row is copied per column before a shuffle: a column's values are
+    combined in the tasks first); approximate ones are sketches of fixed size."""
     cols = list(columns or df.columns)
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[fn(_q(c)).alias(c) for c in cols]).unpivot([], cols, "column", "nunique")
+    if approx:
+        return estimates(sketches(df, cols))
+    seen = value_table(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("nunique"))
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return every.join(seen, "column", "left").select("column", F.coalesce("nunique", F.lit(0).cast("long")).alias("nunique"))
+
+
+def sketches(df: DataFrame, columns: Sequence[str] | None = None, group: Sequence[str] = ()) -> DataFrame:
+    """``(group, column, sketch)``: a HyperLogLog sketch of each column's values (per group, a month say), mergeable later."""
+    cols = [c for c in columns or df.columns if c not in group]
+    wide = df.groupBy(*group).agg(*[F.hll_sketch_agg(_as_text(df, c)).alias(f"s{i}") for i, c in enumerate(cols)])
+    recs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("sketch")) for i, c in enumerate(cols)])
+    return wide.select(*group, F.explode(recs).alias("r")).select(*group, "r.*")
+
+
+def estimates(made: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """``(group, column, nunique)`` of stored sketches, merged over everything but ``group`` and column."""
+    return made.groupBy(*group, "column").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("nunique"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -128,21 +164,40 @@ def safe_corr(a, b):
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(x, y, r)`` for every ordered pair of numeric columns, pairwise-complete.
+    """``(x, y, r)`` for every ordered pair of numeric columns, pairwise-complete; NULL (not an error) for a column
+    that is constant over a pair's rows.
 
-    One read and no row expansion: the pairs are scored as aggregates in chunks of ``CORR_CHUNK`` pairs (so a code
-    block and an aggregation row stay small), each chunk a one-row table; the chunks' rows are unpivoted together.
-    """
+    One read: rows are grouped by which of their values are missing (a bit mask), and each group has plain sums of
+    every column, its square and the products of pairs, of values shifted by one of the column's own (so large values
+    lose no digits).  A pair's figures are those of the groups in which both are present, added up in the small table of
+    groups.  Beyond ``CORR_CHUNK`` pairs the read is repeated for the next chunk of pairs, so a row of sums stays small."""
     cols = list(columns or numeric_columns(df))
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     wide = df.select(*[_q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    some = wide.limit(1000).agg(*[F.first(c, ignorenulls=True).alias(c) for c in wide.columns]).first()
+    moved = wide.select(*[(F.col(c) - F.lit(some[c] if some[c] is not None and math.isfinite(some[c]) else 0.0)).alias(c) for c in wide.columns])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     parts = []
     for k in range(0, len(pairs), CORR_CHUNK):
         own = pairs[k:k + CORR_CHUNK]
-        r = wide.agg(*[safe_corr(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{n}") for n, (i, j) in enumerate(own)])
-        recs = [F.struct(F.lit(cols[a]).alias("x"), F.lit(cols[b]).alias("y"), F.col(f"r{n}").alias("r"))
-                for n, (i, j) in enumerate(own) for a, b in ([(i, j)] if i == j else [(i, j), (j, i)])]
-        parts.append(r.select(F.explode(F.array(*recs)).alias("p")).select("p.*"))
+        used = sorted({i for p in own for i in p})
+        masks = [sum((F.when(F.col(f"c{i}").isNotNull(), F.lit(1 << b)).otherwise(F.lit(0)) for b, i in enumerate(used[m:m + 60])), F.lit(0).cast("long")).alias(f"m{m}")
+                 for m in range(0, len(used), 60)]
+        names = [f"m{m}" for m in range(0, len(used), 60)]
+        stats = [f(F.col(f"c{i}")).alias(f"{n}{i}") for i in used for n, f in (("s", F.sum), ("lo", F.min), ("hi", F.max))]
+        sums = moved.select("*", *masks).groupBy(*names).agg(F.count(F.lit(1)).alias("n"), *stats, *[F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"p{i}_{j}") for i, j in own],
+                                                             *[F.sum(F.col(f"c{i}") * F.col(f"c{i}")).alias(f"q{i}") for i in used])
+        bit = {i: F.col(f"m{b - b % 60}").bitwiseAND(F.lit(1 << b % 60)) != 0 for b, i in enumerate(used)}
+        recs = [F.when(bit[i] & bit[j], F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("n"), F.col(f"s{i}").alias("sx"), F.col(f"s{j}").alias("sy"),
+                                                 F.col(f"q{i}").alias("qx"), F.col(f"q{j}").alias("qy"), F.col(f"p{i}_{j}").alias("p"),
+                                                 F.col(f"lo{i}").alias("lox"), F.col(f"hi{i}").alias("hix"), F.col(f"lo{j}").alias("loy"), F.col(f"hi{j}").alias("hiy"))) for i, j in own]
+        g = sums.select(F.explode(F.array_compact(F.array(*recs))).alias("g")).select("g.*").groupBy("i", "j").agg(
+            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "qx", "qy", "p")], *[F.min(c).alias(c) for c in ("lox", "loy")], *[F.max(c).alias(c) for c in ("hix", "hiy")])
+        n, sx, sy, qx, qy, p = (F.col(c) for c in ("n", "sx", "sy", "qx", "qy", "p"))
+        spread = F.sqrt(F.greatest(qx - sx * sx / n, F.lit(0.0))) * F.sqrt(F.greatest(qy - sy * sy / n, F.lit(0.0)))
+        r = F.when((F.col("lox") < F.col("hix")) & (F.col("loy") < F.col("hiy")), F.try_divide(p - sx * sy / n, spread))
+        every = [(a, b, i, j) for i, j in own for a, b in ([(cols[i], cols[j])] if i == j else [(cols[i], cols[j]), (cols[j], cols[i])])]
+        named = df.sparkSession.createDataFrame(every, "x string, y string, i int, j int")
+        parts.append(named.join(g.select("i", "j", r.alias("r")), ["i", "j"], "left").select("x", "y", "r"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -42,7 +42,7 @@ def split_report(features: DataFrame, as_of=None, *, key: str = "series", value:
 
 def forecast_as_of(features: DataFrame, as_of=None, *, key: str = "series", ts: str = "Timestamp", value: str = "Load",
                    horizon: int = 7, train_fraction: float = 0.8, valid_fraction: float = 0.1, max_iter: int = 200,
-                   max_depth: int = 6, patience: int = 20, allow_non_causal: bool = False,
+                   max_depth: int = 6, tol: float = 0.0, allow_non_causal: bool = False,
                    validate_on_test: bool = False) -> ForecastResult:
     """M7: forecast ``horizon`` rows ahead as of a date.
 
@@ -62,8 +62,7 @@ def forecast_as_of(features: DataFrame, as_of=None, *, key: str = "series", ts:
         inner = ordered.chrono_split(train_all, key, ts, 1.0 - valid_fraction, "is_valid")
         train, valid = inner.filter(~F.col("is_valid")).drop("is_valid"), inner.filter(F.col("is_valid")).drop("is_valid")
     feats = model.feature_columns(df, target, exclude=[value], allow_non_causal=allow_non_causal)
-    fitted = model.fit_gbt_early_stop(train, valid, target, feats, key=key, max_iter=max_iter, max_depth=max_depth,
-                                      patience=patience)
+    fitted = model.fit_gbt_early_stop(train, valid, target, feats, key=key, ts=ts, max_iter=max_iter, max_depth=max_depth, tol=tol)
     pred = model.predict(fitted, test)
     return ForecastResult(pred, metrics.error_metrics(pred, target, "prediction"), fitted)
 
@@ -83,6 +82,6 @@ def forecast_random_split(features: DataFrame, *, key: str = "series", ts: str =
     feats = [c for c in feats if c != "is_test"]
     df = materialized(df, "model-rows")  # trees, imputer and scoring read it again and again
     train, test = df.filter(~F.col("is_test")), df.filter(F.col("is_test"))
-    fitted = model.fit_gbt(train, value, feats, key=key, max_iter=max_iter, max_depth=max_depth)
+    fitted = model.fit_gbt(train, value, feats, key=key, ts=ts, max_iter=max_iter, max_depth=max_depth)
     pred = model.predict(fitted, test)
     return ForecastResult(pred, metrics.error_metrics(pred, value, "prediction"), fitted)

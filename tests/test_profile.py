@@ -105,3 +105,40 @@ def test_quantile_methods_agree_with_pandas_on_ties_and_groups(spark):
             key = row["g"] if row["g"] is not None else np.nan
             exp = want.loc[key] if key == key else want[want.index.isna()].iloc[0]
             assert np.allclose(row[[f"p{i}" for i in range(len(probs))]].astype(float).values, exp.values), (method, bins, key)
+
+
+def test_corr_is_pairwise_complete_and_keeps_digits(spark):
+    rng = np.random.default_rng(2)
+    a = 1e9 + rng.normal(size=400)
+    data = pd.DataFrame({"a": a, "b": a * 2 + rng.normal(size=400), "c": rng.normal(size=400), "k": 7.0, "e": np.nan})
+    for c, share in (("b", 0.3), ("c", 0.5), ("k", 0.2)):
+        data.loc[rng.random(400) < share, c] = np.nan
+    df = spark.createDataFrame(data.astype(object).where(data.notna(), None), "a double, b double, c double, k double, e double").repartition(7)
+    got = {(r.x, r.y): r.r for r in profile.corr_matrix(df).collect()}
+    want = (data - data.median()).corr()  # exact differences: the library's own sums lose digits of large values
+    assert len(got) == 25
+    for (x, y), r in got.items():
+        if "k" in (x, y) or "e" in (x, y):
+            assert r is None
+        else:
+            assert abs(r - want.loc[x, y]) < 1e-9
+
+
+def test_corr_in_chunks(spark, monkeypatch):
+    df = spark.range(50).select(*[F.sin(F.col("id") * (i + 1)).alias(f"v{i}") for i in range(6)])
+    whole = {(r.x, r.y): r.r for r in profile.corr_matrix(df).collect()}
+    monkeypatch.setattr(profile, "CORR_CHUNK", 4)
+    assert {(r.x, r.y): round(r.r, 9) for r in profile.corr_matrix(df).collect()} == {k: round(v, 9) for k, v in whole.items()} and len(whole) == 36
+
+
+def test_distinct_counts_without_expand_and_by_sketches(spark):
+    df = spark.range(20000).select((F.col("id") % 5).alias("m"), (F.col("id") % 3000).cast("string").alias("s"),
+                                   F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0).alias("z"), F.array(F.col("id") % 4).alias("arr"), F.lit(None).cast("int").alias("none"))
+    out = profile.nunique(df)
+    assert {r["column"]: r["nunique"] for r in out.collect()} == {"m": 5, "s": 3000, "z": 1, "arr": 4, "none": 0}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    months = profile.sketches(df, ["s", "z", "none"], ["m"])
+    merged = {r["column"]: r["nunique"] for r in profile.estimates(months).collect()}
+    assert merged == {r["column"]: r["nunique"] for r in profile.nunique(df, ["s", "z", "none"], approx=True).collect()}
+    assert merged["z"] == 1 and merged["none"] == 0 and abs(merged["s"] - 3000) < 150
+    assert {r["m"]: r["nunique"] for r in profile.estimates(months.filter("column = 'z'"), ["m"]).collect()} == dict.fromkeys(range(5), 1)
