@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, MapT
 from .clean import flag_columns, numeric_columns
 from .quantiles import column_quantiles
 
+MASK_BITS = 60  # columns of one null mask
 CORR_CHUNK = 120  # pairs of columns scored in one aggregate: 15 columns in a single read
 
 
@@ -173,32 +174,36 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     groups.  Beyond ``CORR_CHUNK`` pairs the read is repeated for the next chunk of pairs, so a row of sums stays small."""
     cols = list(columns or numeric_columns(df))
     wide = df.select(*[_q(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    some = wide.limit(1000).agg(*[F.first(c, ignorenulls=True).alias(c) for c in wide.columns]).first()
-    moved = wide.select(*[(F.col(c) - F.lit(some[c] if some[c] is not None and math.isfinite(some[c]) else 0.0)).alias(c) for c in wide.columns])
+    some = wide.limit(1000).selectExpr(*[f"first(c{i}, true) AS c{i}" for i in range(len(cols))]).first()
+    shift = [v if v is not None and math.isfinite(v) else 0.0 for v in some]
+    moved = wide.selectExpr(*[f"c{i} - CAST('{v!r}' AS DOUBLE) AS c{i}" for i, v in enumerate(shift)])
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "_i int, _name string")
     parts = []
     for k in range(0, len(pairs), CORR_CHUNK):
         own = pairs[k:k + CORR_CHUNK]
         used = sorted({i for p in own for i in p})
-        masks = [sum((F.when(F.col(f"c{i}").isNotNull(), F.lit(1 << b)).otherwise(F.lit(0)) for b, i in enumerate(used[m:m + 60])), F.lit(0).cast("long")).alias(f"m{m}")
-                 for m in range(0, len(used), 60)]
-        names = [f"m{m}" for m in range(0, len(used), 60)]
-        stats = [f(F.col(f"c{i}")).alias(f"{n}{i}") for i in used for n, f in (("s", F.sum), ("lo", F.min), ("hi", F.max))]
-        sums = moved.select("*", *masks).groupBy(*names).agg(F.count(F.lit(1)).alias("n"), *stats, *[F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"p{i}_{j}") for i, j in own],
-                                                             *[F.sum(F.col(f"c{i}") * F.col(f"c{i}")).alias(f"q{i}") for i in used])
-        bit = {i: F.col(f"m{b - b % 60}").bitwiseAND(F.lit(1 << b % 60)) != 0 for b, i in enumerate(used)}
-        recs = [F.when(bit[i] & bit[j], F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("n"), F.col(f"s{i}").alias("sx"), F.col(f"s{j}").alias("sy"),
-                                                 F.col(f"q{i}").alias("qx"), F.col(f"q{j}").alias("qy"), F.col(f"p{i}_{j}").alias("p"),
-                                                 F.col(f"lo{i}").alias("lox"), F.col(f"hi{i}").alias("hix"), F.col(f"lo{j}").alias("loy"), F.col(f"hi{j}").alias("hiy"))) for i, j in own]
-        g = sums.select(F.explode(F.array_compact(F.array(*recs))).alias("g")).select("g.*").groupBy("i", "j").agg(
-            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "qx", "qy", "p")], *[F.min(c).alias(c) for c in ("lox", "loy")], *[F.max(c).alias(c) for c in ("hix", "hiy")])
-        n, sx, sy, qx, qy, p = (F.col(c) for c in ("n", "sx", "sy", "qx", "qy", "p"))
-        spread = F.sqrt(F.greatest(qx - sx * sx / n, F.lit(0.0))) * F.sqrt(F.greatest(qy - sy * sy / n, F.lit(0.0)))
-        r = F.when((F.col("lox") < F.col("hix")) & (F.col("loy") < F.col("hiy")), F.try_divide(p - sx * sy / n, spread))
-        every = [(a, b, i, j) for i, j in own for a, b in ([(cols[i], cols[j])] if i == j else [(cols[i], cols[j]), (cols[j], cols[i])])]
-        named = df.sparkSession.createDataFrame(every, "x string, y string, i int, j int")
-        parts.append(named.join(g.select("i", "j", r.alias("r")), ["i", "j"], "left").select("x", "y", "r"))
-    return reduce(DataFrame.unionByName, parts)
+        words = range(0, len(used), MASK_BITS)
+        masks = [" | ".join(f"if(c{i} IS NULL, 0L, {1 << b}L)" for b, i in enumerate(used[m:m + MASK_BITS])) + f" AS m{m}" for m in words]
+        keys = [f"m{m}" for m in words]
+        array = {c: f"array({', '.join(f'{f}(c{i})' for i in used)}) AS {c}" for c, f in (("s", "sum"), ("lo", "min"), ("hi", "max"))}
+        array |= {"q": f"array({', '.join(f'sum(c{i} * c{i})' for i in used)}) AS q", "p": f"array({', '.join(f'sum(c{i} * c{j})' for i, j in own)}) AS p"}
+        sums = moved.selectExpr("*", *masks).groupBy(*keys).agg(F.expr("count(1) AS n"), *[F.expr(x) for x in array.values()])
+        # groups x ordered pairs, from arrays of the sums; a group of no rows keeps the pairs of an empty table
+        none = df.sparkSession.range(1).selectExpr(*[f"0L AS {m}" for m in keys], "0L AS n")
+        at = {i: b for b, i in enumerate(used)}
+        every = ", ".join(f"struct({i} AS x, {j} AS y, {at[i]} AS i, {at[j]} AS j, {t} AS t)" for t, p in enumerate(own) for i, j in sorted({p, p[::-1]}))
+        of = sums.unionByName(none, allowMissingColumns=True).selectExpr(f"array({', '.join(keys)}) AS m", "n", "s", "q", "lo", "hi", "p", f"explode(array({every})) AS e")
+        both = " AND ".join(f"getbit(get(m, CAST(e.{v} DIV {MASK_BITS} AS INT)), e.{v} % {MASK_BITS}) = 1" for v in "ij")
+        fields = {"n": "n", "p": "get(p, e.t)"} | {f"{c}{v}": f"get({c}, e.{i})" for c in ("s", "q", "lo", "hi") for v, i in (("x", "i"), ("y", "j"))}
+        each = of.selectExpr("e.x", "e.y", *[f"CASE WHEN {both} THEN {v} END AS {c}" for c, v in fields.items()])
+        g = each.groupBy("x", "y").agg(*[F.expr(f"{'min' if c[:2] == 'lo' else 'max' if c[:2] == 'hi' else 'sum'}({c}) AS {c}") for c in fields])
+        spread = " * ".join(f"sqrt(greatest(q{v} - s{v} * s{v} / n, 0D))" for v in "xy")
+        parts.append(g.selectExpr("x AS _x", "y AS _y", f"CASE WHEN lox < hix AND loy < hiy THEN try_divide(p - sx * sy / n, {spread}) END AS r"))
+    out = reduce(DataFrame.unionByName, parts)
+    for v in "xy":
+        out = out.join(F.broadcast(names.withColumnRenamed("_name", v)), F.col(f"_{v}") == F.col("_i")).drop("_i")  # one row a column
+    return out.select("x", "y", "r")
 
 
 def time_span(df: DataFrame, ts: str, group: Sequence[str] = ()) -> DataFrame:

@@ -124,6 +124,11 @@ def test_corr_is_pairwise_complete_and_keeps_digits(spark):
             assert abs(r - want.loc[x, y]) < 1e-9
 
 
+def test_corr_of_no_rows(spark):
+    df = spark.createDataFrame([], "a double, b int")
+    assert {(r.x, r.y, r.r) for r in profile.corr_matrix(df).collect()} == {(x, y, None) for x in "ab" for y in "ab"}
+
+
 def test_corr_in_chunks(spark, monkeypatch):
     df = spark.range(50).select(*[F.sin(F.col("id") * (i + 1)).alias(f"v{i}") for i in range(6)])
     whole = {(r.x, r.y): r.r for r in profile.corr_matrix(df).collect()}
