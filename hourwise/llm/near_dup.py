@@ -18,10 +18,14 @@ Candidates are confirmed on full sets.  No bucket is expanded into all its pairs
    the shingles A (added) and R (removed).  |x ^ y| = |Dx ^ Dy| with D = A + R (^: symmetric difference), so x and y
    can only be linked if Dx and Dy overlap in at least m = (|Dx| + |Dy| - t (|x| + |y|)) / 2 elements, where
    t = (1 - s) / (1 + s).  Two members of different components are not both linked to the hub, and if x is not,
-   |Dx| > t (|x| + |o|), hence m > (|Dy| - t (|Ay| - |Ry|)) / 2.  So linked members share an added shingle or, by
-   prefix filtering, one of the first |R| - m + 1 removed ones.  These shingles are the keys of new buckets (for each
-   hub), which hold only members with the same deviations.  They take a star too.
-3. At last the pairs of different components in one such bucket that were never compared are compared.
+   |Dx| > t (|x| + |o|), hence m > (|Dy| - t (|Ay| - |Ry|)) / 2.  Nor do linked sets differ by more than (1/s - 1) |y|
+   elements, so m >= |Dy| - (1/s - 1) |y|.  By prefix filtering, linked members share one of the first |D| - m + 1
+   elements of each D in any common order.  The order is by rarity among the hub's members, so what
+   many of them share (a phrase added everywhere, a passage left out everywhere) comes last and is hardly ever among
+   these: what is left are deviations shared by few.  They are the keys of new buckets (for each hub), which take a star
+   too.
+3. At last the pairs of different components in one such bucket that were never compared are compared, if what follows
+   the shared key in both orders leaves room for m shared elements.
 
 Every step is lossless for pairs that share a band, and nothing is capped.
 
@@ -241,7 +245,7 @@ def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Bucket members (key, cls, n, w, short) with ``comp``, their component so far."""
     if labels is None:
         return members.withColumn("comp", F.col("cls"))
-    return members.join(labels, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", "w", "short", F.coalesce("label", "cls").alias("comp"))
+    return members.join(labels, F.col("cls") == F.col("node"), "left").select(*members.columns, F.coalesce("label", "cls").alias("comp"))
 
 
 def mixed_buckets(members: DataFrame) -> DataFrame:
@@ -251,9 +255,9 @@ def mixed_buckets(members: DataFrame) -> DataFrame:
 
 
 def deviations(around: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Finer buckets: (key, cls, n, w, short) for every hub a and member b of the pairs ``around``.  Keys name the hub
-    and a shingle in which b deviates from it.  ``short`` marks keys that suffice for partners not linked to the hub;
-    the others meet only those."""
+    """(hub, key, cls, n, w, p1, p2) for every hub a and member b of the pairs ``around`` and every shingle in which b
+    deviates from a.  Keys name the hub and the shingle.  The first p1 of a member's keys, in a common order, suffice
+    for partners not linked to the hub, the first p2 for all."""
     def rows(i: int, hub: np.ndarray, own: np.ndarray, name: np.ndarray) -> tuple:
         p, q = 100 - percent, 100 + percent
         at = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
@@ -265,26 +269,37 @@ def deviations(around: DataFrame, texts: DataFrame, words: int, percent: int) ->
         d, common = len(added) + len(removed), int(shared.sum())
         far = 100 * common < percent * (len(hub) + len(own) - common)
         need = (d * q - p * (len(added) - len(removed))) // (2 * q) + 1
-        short = max(0, len(removed) - need + 1)
-        keys = short
+        p1 = p2 = max(0, d - need + 1)
         if far:
             need = max(1, -((p * (len(own) + len(hub)) - d * q) // (2 * q)))
-            keys = max(short, len(removed) - need + 1)
-        all_ = np.concatenate((mixed(added ^ name[0]), mixed(removed[:keys] ^ name[1])))
-        return i, all_, np.arange(len(all_)) < len(added) + short, len(own), -d
+            p2 = max(p1, d - need + 1)
+        most = (100 - percent) * len(own) // percent + 1 if percent else d
+        p1, p2 = min(p1, most), min(p2, most)
+        return i, np.concatenate((mixed(added ^ name[0]), mixed(removed ^ name[1]))), len(own), -d, p1, p2, int(name[0].view(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b, made in compared(batch, words, rows):
-                size = [len(r[1]) for r in made]
-                of = np.repeat(np.arange(len(made)), size)
-                join = lambda k, kind: np.concatenate([r[k] for r in made]) if made else np.zeros(0, kind)
-                spread = lambda k: np.array([r[k] for r in made], dtype=np.int64)[of]
+                made = [r for r in made if r[5]]  # a member whose prefix is empty has no partner
+                of = np.repeat(np.arange(len(made)), [len(r[1]) for r in made])
+                keys = np.concatenate([r[1] for r in made]) if made else np.zeros(0, np.uint64)
+                spread = lambda k: pa.array(np.array([r[k] for r in made], dtype=np.int64)[of])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(join(1, np.uint64).view(np.int64)), pa.array([b[r[0]] for r in made], pa.binary()).take(pa.array(of)),
-                     pa.array(spread(3)), pa.array(spread(4)), pa.array(join(2, bool))], ["key", "cls", "n", "w", "short"])
+                    [spread(6), pa.array(keys.view(np.int64)), pa.array([b[r[0]] for r in made], pa.binary()).take(pa.array(of)), *(spread(k) for k in (2, 3, 4, 5))],
+                    ["hub", "key", "cls", "n", "w", "p1", "p2"])
 
-    return with_texts(around, texts).mapInArrow(run, "key long, cls binary, n long, w long, short boolean")
+    return with_texts(around, texts).mapInArrow(run, "hub long, key long, cls binary, n long, w long, p1 long, p2 long")
+
+
+def rare_keys(fine: DataFrame) -> DataFrame:
+    """Finer buckets: (key, cls, n, w, short, left), the prefixes of ``deviations`` in order of rarity; ``left`` keys
+    follow.  A key of one member takes its place in the order but makes no bucket."""
+    shared = fine.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").withColumnRenamed("key", "_key")
+    held = fine.join(shared, F.col("key") == F.col("_key"))
+    member = Window.partitionBy("hub", "cls")
+    place = -F.col("w") - F.count("*").over(member) + F.row_number().over(member.orderBy("c", "key"))  # -w: all its keys
+    return held.withColumn("place", place).where("place <= p2").select(
+        "key", "cls", "n", "w", (F.col("place") <= F.col("p1")).alias("short"), (-F.col("w") - F.col("place")).alias("left"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
@@ -318,6 +333,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         hubs = now.groupBy("key").agg(F.max(F.struct("w", "cls")).alias("l")).select(F.col("key").alias("_key"), F.col("l.cls").alias("a"))
         around = now.join(hubs, F.col("key") == F.col("_key")).where("a != cls").select("a", F.col("cls").alias("b")).distinct()
         fine = stored(deviations(stored(around, "around"), texts, words, percent), "deviations")
+        fine = stored(rare_keys(fine), "rare-keys")
         state.rest(state.star(mixed_buckets(labelled(fine, state.labels)), fine))
     labels = state.labels
     release(spark)
@@ -370,9 +386,12 @@ class _Search:
 
     def rest(self, now: DataFrame) -> None:
         """Compare what is left: pairs of different components in one bucket."""
-        other = now.select(F.col("key").alias("_key"), F.col("cls").alias("_cls"), F.col("n").alias("_n"), F.col("comp").alias("_comp"), F.col("short").alias("_short"))
+        other = now.select(*[F.col(c).alias(f"_{c}") for c in now.columns])
+        p, q = 100 - self.percent, 100 + self.percent
+        # -w: all deviations of a member
+        room = 2 * q * (F.least("left", "_left") + 1) >= -q * (F.col("w") + F.col("_w")) - p * (F.col("n") + F.col("_n"))
         pairs = now.join(other, F.col("key") == F.col("_key")).where(
-            (F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & (F.col("short") | F.col("_short")) & self.sizes())
+            (F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & (F.col("short") | F.col("_short")) & self.sizes() & room)
         self.compare(pairs.select(F.col("_cls").alias("a"), F.col("cls").alias("b")))
 
 

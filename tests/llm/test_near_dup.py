@@ -97,3 +97,55 @@ def test_hashes_do_not_depend_on_place():
     data = np.frombuffer(b"xxabcabc", dtype=np.uint8)
     h = RollingHash(data)
     assert h(np.array([2]), np.array([5])) == h(np.array([5]), np.array([8])) and len(set(mixed(np.arange(1000, dtype=np.uint64)).tolist())) == 1000
+
+
+def template_copies(n, seed=0, families=1):
+    """Copies of one text with 15 words replaced and one phrase added everywhere; ``families`` copies of each differ in
+    a few words more."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for d in range(n):
+        w = [f"t{i}" for i in range(300)]
+        for i in rng.choice(300, 15, replace=False):
+            w[i] = f"d{d}x{i}"
+        at = int(rng.integers(300))
+        w[at:at] = [f"p{i}" for i in range(12)]
+        for f in range(families):
+            v = list(w)
+            for i in rng.choice(len(v), 3 * min(f, 1), replace=False):
+                v[i] = f"d{d}f{f}x{i}"
+            rows.append((len(rows), " ".join(v)))
+    return rows
+
+
+def test_unlinked_copies_of_a_template_are_not_compared_in_pairs(spark, monkeypatch):
+    counts = []
+    compare = near_dup._Search.compare
+
+    def counted(self, pairs):
+        counts.append(pairs.count())
+        return compare(self, pairs)
+
+    monkeypatch.setattr(near_dup._Search, "compare", counted)
+    made = {}
+    for n in (150, 300):
+        counts.clear()
+        df = spark.createDataFrame(template_copies(n), "doc_id long, text string")
+        assert near_dup.near_duplicates(df, words=3, percent=85).where("kept").count() == n
+        made[n] = list(counts)
+    assert made[300][-1] <= 300 and sum(made[300]) < 4 * sum(made[150]) and sum(made[300]) < 300 * 299 / 4
+
+
+def test_families_far_from_their_hub(spark):
+    rows = template_copies(25, 3, families=4)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for words, percent in ((3, 85), (5, 80), (3, 60)):
+        sets = [{tuple(t.split()[i:i + words]) for i in range(len(t.split()) - words + 1)} for _, t in rows]
+        label = list(range(len(rows)))
+        for i in range(len(rows)):
+            for j in range(i):
+                if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                    a, b = sorted((label[i], label[j]))
+                    label = [a if x == b else x for x in label]
+        got = {r.id: r.component_id for r in near_dup.near_duplicates(df, words=words, percent=percent).collect()}
+        assert [got[i] for i in range(len(rows))] == label
