@@ -1,15 +1,14 @@
-"""Operator 6, suffix-array dedup: distributed prefix doubling.
+"""Operator 6, suffix-array dedup: repeated strings by minimizer anchors and grouped hashes.
 
-Every byte covered by a ``length``-byte string that also starts anywhere else is removed.  Prefix doubling names the
-strings of growing lengths by pairs (name of the first part, name of the part at the offset): Spark groups the pairs,
-and positions whose pair is unique drop out; past the threshold length, what is left is duplicated.
-
-Ranking all byte positions in every round would shuffle the input many times over, so rounds are sparse first:
+Every byte covered by a ``length``-byte string that also starts anywhere else is removed.  Prefix doubling would name
+the strings of growing lengths by pairs (rank of the first part, rank of the part at the offset).  Ranking all byte
+positions in every round would shuffle the input many times over, so these are not its rounds: nothing is sorted or
+ranked again at growing offsets.  Three groupings by hashes take their place, with the same result:
 
 1. *Anchors.*  The window of ``length`` bytes at a start p is tied to one position a in [p, p + length - core], the one
    with the least hash of the 32 bytes there (leftmost of equals).  It depends on the window's bytes alone, so equal
-   windows have equal anchors at equal distance, and all starts tied to one anchor form a run, its *slot*.  First
-   round: anchors are grouped by the name of the pair of halves of the ``core`` bytes at the anchor, which every
+   windows have equal anchors at equal distance, and all starts tied to one anchor form a run, its *slot*.  Anchors
+   are grouped by the name of the pair of halves of the ``core`` bytes at the anchor, which every
    window of the slot holds.  If that is unique, no window of the slot is repeated: the slot drops out.
 2. *Slots.*  Slots left are ranked by name of all their bytes: equal slots (two or more) are repeated at every start.
 3. *Positions.*  Where a core is shared by slots that differ, and some of them occur once, the starts of one slot of
