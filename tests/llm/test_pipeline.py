@@ -25,7 +25,7 @@ def test_stages_against_brute_force(spark):
             assert df.columns == columns
         if name == "language_id":
             found = dict(zip(before, lang_id.label_texts([r.text or "" for r in before.values()], model, 12.0, 8.0)))
-            assert set(now) == {i for i, (_, lang, score) in found.items() if lang != "und" and score >= 0.5} and len(now) >= 0.97 * len(before)
+            assert set(now) == {i for i, (_, lang, _) in found.items() if lang != "und"} and len(now) >= 0.97 * len(before)
         if name == "near_dedup":
             own = sorted((i, r.text) for i, r in before.items())
             assert set(now) == {i for (i, _), (n, c) in zip(own, groups(own, 5, 80)) if not n or i == c}
@@ -52,3 +52,11 @@ def test_clean_text_of_several_languages_stays(spark):
     found = {r["_row"].doc_id: r.score for r in lang_id.label(df.where("doc_id < 0"), lang_id.fit(docs, where=~lang_id.held_out())).collect()}
     assert 0 < found[-1] < 0.5 and 0 < found[-2] < 0.5  # every span is labelled, no language holds half
     assert {i for i in rows(p.language_stage(spark, df, SF)) if i < 0} == {-1, -2}
+
+
+def test_empty_documents(spark):
+    now = read(spark, SF, "documents").limit(0)
+    for _, stage in p.STAGES:
+        now = stage(spark, now, SF)
+        assert now.count() == 0
+    assert {"doc_id", "target", "taken"} <= set(now.columns)
