@@ -6,13 +6,16 @@ a target stops at ``max_epochs`` times its source's size and what it leaves is s
 source and a fractional selection: every document gets the exponential key -ln(u) / quality, u from a hash of its id;
 documents are taken in key order while their running size stays nearest to what the epochs leave.
 
-No source is ever sorted whole: keys fall into ``buckets`` classes of equal probability, sizes are summed by
-(source, class) with partial aggregation, and only the one class per source in which the budget ends is ordered.
+No source is ever sorted whole: keys fall into ``buckets`` classes of equal probability and sizes are summed by
+(source, class) with partial aggregation.  The one class per source in which the budget ends is cut again between the
+least and the greatest key that it really holds, until at most ``cut_rows`` rows are left to be ordered: whatever the
+quality weights do to the keys, no class grows with its source.  Rows with equal keys are cut by a hash of the row,
+equal rows by their number in ``spread``, if one is stored with them.
 
 Defined results: null text or text without words -> size 0, taken 0; a null source is a source of its own, the last;
-null, NaN or non-positive quality counts as 1; equal keys (repeated ids) go by id, then size; an empty table gives no
-row.  A source's taken words differ from its target by at most half of the document at the cut.  Other columns ride
-along untouched, whatever their names.
+null, NaN or non-positive quality counts as 1; a row without an id draws by its text; rows with equal keys (repeated
+ids) go by a hash of id, size and text, so reruns agree; an empty table gives no row.  A source's taken words differ
+from its target by at most half of the document at the cut.  Other columns ride along untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix"
 MAX_EPOCHS = 3
 BUCKETS = 4096
+CUT_ROWS = 100_000  # a larger class at the cut is cut again
 BROADCAST_ROWS = 100_000  # a plan of more sources is joined by a shuffle
 
 
@@ -38,7 +42,7 @@ def exponential_key(key: Column, quality: Column, seed: str = SEED) -> Column:
     digest = F.md5(F.concat_ws(":", F.lit(seed), key.cast("string")))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     good = quality.isNotNull() & ~F.isnan(quality) & (quality > 0)
-    return -F.log(u) / F.when(good, quality).otherwise(1.0)
+    return F.least(-F.log(u) / F.when(good, quality).otherwise(1.0), F.lit(1e300))
 
 
 def targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -54,40 +58,75 @@ def targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     return at.select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * share).alias("target"))
 
 
-def plan(rows: DataFrame, max_epochs: int, buckets: int) -> DataFrame:
-    """One row per source: target, complete epochs, the budget left, the last class taken whole, the class it ends in."""
-    sums = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "mix-sums")
+KEYS = ("e", "tie", "spread")  # what rows are ordered by
+LOWEST, HIGHEST = float("-inf"), float("inf")
+
+
+def _ends_in(sums: DataFrame) -> DataFrame:
+    """Of the classes of every ``of`` the one in which its ``budget`` ends, after ``before`` words.  The class is held
+    as an interval of keys: ``level`` is the first key in which its rows differ, those before it have one value."""
+    run = F.sum("size").over(Window.partitionBy("of").orderBy("class").rowsBetween(Window.unboundedPreceding, 0))
+    after = F.col("before") + run
+    at = sums.withColumn("after", after).where((F.col("after") >= F.col("budget")) & (F.col("after") - F.col("size") < F.col("budget")))
+    level = F.when(F.col("min_e") < F.col("max_e"), 0).when(F.col("min_tie") < F.col("max_tie"), 1).otherwise(2)
+    at = at.withColumn("level", level).withColumn("before", F.col("after") - F.col("size"))
+    ends = [F.when(F.col("level") >= i, F.col(f"{side}_{k}")).otherwise(open_end).alias(f"{side}_{k}")
+            for i, k in enumerate(KEYS) for side, open_end in (("min", F.lit(LOWEST)), ("max", F.lit(HIGHEST)))]
+    return at.select("of", "budget", "before", "n", "level", *ends)
+
+
+def _classes(rows: DataFrame, *by) -> DataFrame:
+    return rows.groupBy(*by).agg(F.sum("size").alias("size"), F.count("*").alias("n"),
+                                 *[f(k).alias(f"{side}_{k}") for k in KEYS for f, side in ((F.min, "min"), (F.max, "max"))])
+
+
+def _inside(rows: DataFrame, cuts: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the cut of their source, ``cut`` (the row is in its class) and ``below`` (it comes before it)."""
+    small = cuts.count() <= BROADCAST_ROWS
+    both = rows.join(F.broadcast(cuts) if small else cuts, rows["source"].eqNullSafe(cuts["of"]), how)
+    key, low, high = (F.struct(*[F.col(f"{side}{k}").alias(k) for k in KEYS]) for side in ("", "min_", "max_"))
+    return both.withColumn("cut", (key >= low) & (key <= high)).withColumn("below", key < low)
+
+
+def plan(rows: DataFrame, max_epochs: int, buckets: int, cut_rows: int) -> DataFrame:
+    """One row per source: ``of``, target, complete epochs, the budget left, and the class in which it ends, if any."""
+    sums = stored(_classes(rows.withColumn("class", F.least(F.floor(-F.expm1(-F.col("e")) * buckets), F.lit(buckets - 1)).cast("int")), "source", "class"), "mix-sums")
     aims = targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     aims = aims.withColumn("epochs", epochs).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    by = Window.partitionBy("source").orderBy("bucket")
-    run = sums.withColumn("after", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0))).withColumnRenamed("source", "of")
-    both = run.join(aims, run["of"].eqNullSafe(aims["source"]))
-    whole, cut = F.col("after") <= F.col("budget"), (F.col("after") > F.col("budget")) & (F.col("after") - F.col("size") < F.col("budget"))
-    return both.groupBy("source", "source_size", "target", "epochs", "budget").agg(
-        F.coalesce(F.max(F.when(whole, F.col("bucket"))), F.lit(-1)).alias("whole"),
-        F.coalesce(F.min(F.when(cut, F.col("bucket"))), F.lit(-1)).alias("cut"),
-        F.coalesce(F.min(F.when(cut, F.col("after") - F.col("size"))), F.lit(0)).alias("cut_from"))
+    aims = stored(aims.withColumnRenamed("source", "of"), "mix-aims")
+    first = sums.join(aims.select("of", "budget"), sums["source"].eqNullSafe(aims["of"])).withColumn("before", F.lit(0).cast("long"))
+    cuts = stored(_ends_in(first), "mix-cuts")
+    low, high, value = (F.element_at(F.array(*[f"{side}{k}" for k in KEYS]), F.col("level") + 1) for side in ("min_", "max_", ""))
+    large = (F.col("n") > cut_rows) & (low < high)
+    while not cuts.where(large).isEmpty():
+        part = F.least(F.floor((value - low) / (high - low) * buckets), F.lit(buckets - 1)).cast("int")
+        again = _inside(rows, cuts.where(large)).where("cut").withColumn("class", part).select("of", "budget", "before", "class", "size", *KEYS)
+        cuts = stored(cuts.where(~large).unionByName(_ends_in(_classes(again, "of", "budget", "before", "class"))), "mix-cuts")
+    ends = cuts.drop("budget", "n", "level").withColumnRenamed("of", "at")
+    return aims.join(ends, aims["of"].eqNullSafe(ends["at"]), "left").drop("at")
 
 
 def mix(docs: DataFrame, quality: str | None = None, key: str = "doc_id", text: str = "text", source: str = "source",
-        size: str | None = None, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS, seed: str = SEED) -> DataFrame:
+        size: str | None = None, max_epochs: int = MAX_EPOCHS, buckets: int = BUCKETS, seed: str = SEED,
+        cut_rows: int = CUT_ROWS, spread: str | None = None) -> DataFrame:
     """``docs`` in a struct ``_row``, then ``size``, ``source_size``, ``target`` and ``taken``.  ``quality`` names a
-    column of document quality weights (none: all equal), ``size`` one of sizes (none: the words of ``text``)."""
+    column of document quality weights (none: all equal), ``size`` one of sizes (none: the words of ``text``),
+    ``spread`` one of stored numbers that tell equal rows apart (none: equal rows are ordered in one task)."""
     q = F.col(f"`{quality}`").cast("double") if quality else F.lit(1.0)
-    e = exponential_key(F.col(f"`{key}`"), q, seed)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{key}`").alias("id"),
-                       F.col(f"`{source}`").cast("string").alias("source"), (F.col(f"`{size}`").cast("long") if size else word_count(F.col(f"`{text}`"))).alias("size"), e.alias("e"))
-    rows = rows.withColumn("bucket", F.least(F.floor(-F.expm1(-F.col("e")) * buckets), F.lit(buckets - 1)).cast("int"))
-    aims = stored(plan(rows.select("source", "size", "bucket"), max_epochs, buckets), "mix-plan")
-    small = aims.count() <= BROADCAST_ROWS
-    aims = aims.withColumnRenamed("source", "of")
-    both = rows.join(F.broadcast(aims) if small else aims, rows["source"].eqNullSafe(aims["of"]))
-    at_cut = F.col("bucket") == F.col("cut")
-    order = Window.partitionBy("source", "bucket").orderBy("e", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("cut_from") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    ended = both.where(at_cut).withColumn("chosen", 2 * before + F.col("size") < 2 * F.col("budget"))
-    rest = both.where(~at_cut).withColumn("chosen", F.col("bucket") <= F.col("whole"))
+    own, words = F.col(f"`{key}`"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{source}`").cast("string").alias("source"),
+                       (F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0)) if size else word_count(F.col(f"`{text}`"))).cast("long").alias("size"),
+                       exponential_key(F.coalesce(own.cast("string"), F.concat(F.lit("text "), words)), q, seed).alias("e"), words.alias("words"),
+                       own.alias("id"), (F.col(f"`{spread}`").cast("double") if spread else F.lit(0.0)).alias("spread"))
+    rows = rows.withColumn("tie", F.xxhash64("id", "size", "words").cast("double")).drop("id", "words")
+    aims = stored(plan(rows.select("source", "size", *KEYS), max_epochs, buckets, cut_rows), "mix-plan")
+    both = _inside(rows, aims)
+    order = Window.partitionBy("source").orderBy(*KEYS, "size").rowsBetween(Window.unboundedPreceding, -1)
+    in_cut = F.coalesce("cut", F.lit(False))
+    before = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    ended = both.where(in_cut).withColumn("chosen", 2 * before + F.col("size") < 2 * F.col("budget"))
+    rest = both.where(~in_cut).withColumn("chosen", F.coalesce("below", F.lit(False)))
     taken = F.col("epochs") * F.col("size") + F.when(F.col("chosen"), F.col("size")).otherwise(0)
     return rest.unionByName(ended).select("_row", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
@@ -101,9 +140,10 @@ def quality_weights(labels: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of ``documents``, weighted by the quality in ``labels``.  Sizes are
     counted before the labels are joined, so no text is shuffled."""
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_words"))
-    weighted = stored(sizes.join(quality_weights(labels), F.col("doc_id") == F.col("label_id"), "left").drop("label_id"), "mix-sizes")
-    out = mix(weighted, quality="quality_weight", size="n_words")
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_words"), F.md5("text").alias("text_hash"))
+    weighted = stored(sizes.join(quality_weights(labels), F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
+                      .withColumn("nth", F.xxhash64(F.monotonically_increasing_id())), "mix-sizes")
+    out = mix(weighted, quality="quality_weight", size="n_words", text="text_hash", spread="nth")
     return out.select("_row.doc_id", "_row.source", "size", "source_size", "target", "taken")
 
 

@@ -56,6 +56,26 @@ def test_good_documents_are_chosen_more_often(spark):
     assert mean(8.0) > mean(0.5)
 
 
+def test_large_classes_at_the_cut_are_cut_again(spark):
+    """All keys in the last class, a third of the rows without id, equal rows: the same choice as by a plain sort."""
+    rng = random.Random(4)
+    rows = [(i, "a", "w " * rng.choice([1, 2, 7]), rng.choice([1e-320, 1e-9, 0.001, 0.02]), str(i)) for i in range(600)]
+    rows += [(None, "a", "w " * rng.choice([1, 3]) + str(i), 0.02, "x") for i in range(300)] + [(None, "a", "same text", 0.02, "x")] * 300
+    rows += [(i, "b", "w " * 9, 1.0, "x") for i in range(2000, 2400)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], DDL + ", nth long")
+    plain = mixing.mix(df, quality="quality", spread="nth", cut_rows=10**9).collect()
+    finer = mixing.mix(df, quality="quality", spread="nth", cut_rows=5, buckets=8).collect()
+    assert sorted((r._row.nth, r.taken) for r in plain) == sorted((r._row.nth, r.taken) for r in finer)
+    assert len({r.taken / r["size"] for r in plain if r._row.source == "a"}) == 2
+
+
+def test_the_class_left_to_be_ordered_is_small(spark):
+    rows = spark.range(50_000).selectExpr("CASE WHEN id % 4 = 0 THEN 'a' ELSE 'b' END source", "id % 5 + 1 size",
+                                          "-ln((id + 0.5) / 50000) / 0.001 e", "double(id % 7) tie", "double(id) spread")
+    cuts = mixing._inside(rows, mixing.plan(rows, 3, 64, 20))
+    assert 0 < max(r["count"] for r in cuts.where("cut").groupBy("source").count().collect()) <= 20
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], DDL)).count() == 0
     only = mixing.mix(spark.createDataFrame([(1, None, None, None, None)], DDL)).first()
