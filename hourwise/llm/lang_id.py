@@ -36,7 +36,7 @@ SCRIPT_NAMES = sorted({s for s, _, _ in SCRIPTS}) + ["other"]
 UNKNOWN = "und"
 MAX_LANGS = 1000  # distinct labels; more than this is not a language column
 TRIGRAMS, BIGRAMS = 1 << 16, 1 << 14
-CHUNK_CHARS, SLICE_CHARS = 6_000_000, 1_000_000
+CHUNK_CHARS, SLICE_CHARS = 2_000_000, 500_000
 
 _tables: dict[str, np.ndarray] = {}
 
@@ -82,7 +82,7 @@ def words_of(texts: list[str]) -> Words:
     folded = np.where(mask, t["lower"][cp], 0).astype(np.uint32)
     edges = np.diff(np.concatenate(([0], mask.view(np.int8), [0])))
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    total = np.concatenate(([0], np.cumsum(t["letter"][cp])))
+    total = np.concatenate((np.zeros(1, np.int32), np.cumsum(t["letter"][cp], dtype=np.int32)))
     text = np.searchsorted(text_start, start, side="right") - 1
     return Words(cp, folded, start, end, text, text_start, total[end] - total[start])
 
