@@ -2,9 +2,11 @@
 
 A rule is either a list rule (host and path prefix: it fits the host and all its subdomains, if the URL's path starts
 with the rule's) or a pattern rule (regular expression over the whole URL).  Every rule has literal tokens, runs of
-``[a-z0-9]`` that any URL it fits must hold; it is indexed under the one that the fewest URLs hold (counted over all
-URLs in Spark).  A URL's tokens fetch the candidate rules, and only those are compared or run.  Rules without a
-literal token are candidates for every URL.
+``[a-z0-9]`` that any URL it fits must hold; those of a pattern rule are read off its parsed expression.  A token is
+whole if the rule also fixes what stands around it, else open (it may be a part of a longer one).  A rule is indexed
+under the token that the fewest URLs hold (counted over all URLs in Spark).  A URL's tokens fetch the candidate rules,
+whole ones from a dictionary and open ones by one Aho-Corasick pass, and only those are compared or run.  Rules
+without a literal token are candidates for every URL.
 
 List rules decide first: the longest (host and path together) wins, then a block, then the smaller rule text.
 Otherwise the method's verdict is ``block`` if any pattern rule matches, else ``allow``.
@@ -21,7 +23,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from re import _constants as op
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +38,13 @@ LIST_RULES = (
     ("allow", "com", "/fr/"), ("block", "com", "/de/"),
 )
 
-#: The pattern rules (name, literal tokens that every match holds, regular expression).
+#: The pattern rules (name, regular expression).
 PATTERN_RULES = (
-    ("ad-path", "ad", r"/ads?(?:erver)?s?/"), ("doubleclick", "doubleclick", r"://[^/]*doubleclick\."),
-    ("casino", "casino", r"(?i)\bcasino\b"), ("porn", "porn", r"(?i)\bporn"), ("xxx-host", "xxx", r"(?i)://[^/]*\.xxx(?:[/:?#]|$)"),
-    ("click-tracker", "utm", r"[?&]utm_[a-z]+="), ("cgi-search", "cgi", r"/cgi-bin/"),
-    ("session", "phpsessid", r"(?i)[?&;]phpsessid="), ("tracker-host", "tracker", r"(?i)://[^/]*\btracker\b"),
-    ("second-page", "page", r"[?&]page=[0-9]+&ref="),
+    ("ad-path", r"/ads?(?:erver)?s?/"), ("doubleclick", r"://[^/]*doubleclick\."),
+    ("casino", r"(?i)\bcasino\b"), ("porn", r"(?i)\bporn"), ("xxx-host", r"(?i)://[^/]*\.xxx(?:[/:?#]|$)"),
+    ("click-tracker", r"[?&]utm_[a-z]+="), ("cgi-search", r"/cgi-bin/"),
+    ("session", r"(?i)[?&;]phpsessid="), ("tracker-host", r"(?i)://[^/]*\btracker\b"),
+    ("second-page", r"[?&]page=[0-9]+&ref="),
 )
 
 TOKEN = r"[a-z0-9]+"
@@ -59,61 +62,108 @@ def tokens(c):
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), 0)
 
 
+def fixed_text(parsed) -> list[str | None]:
+    """The ASCII characters that every match of a parsed expression holds, in order; None stands for anything."""
+    out: list[str | None] = []
+    for kind, value in parsed:
+        if kind is op.LITERAL:
+            out.append(chr(value) if value < 128 else None)
+        elif kind in (op.SUBPATTERN, op.ATOMIC_GROUP):
+            out += fixed_text(value[-1] if kind is op.SUBPATTERN else value)
+        elif kind in (op.MAX_REPEAT, op.MIN_REPEAT, op.POSSESSIVE_REPEAT) and value[0]:
+            out += [*fixed_text(value[2]), *([] if value[0] == value[1] == 1 else [None])]
+        elif kind not in (op.AT, op.ASSERT, op.ASSERT_NOT):  # those take no characters
+            out.append(None)
+    return out
+
+
+def literals_of(regex: str) -> list[tuple[str, bool]]:
+    """(token, whole) of a pattern rule: tokens that every URL it fits holds, in lower case."""
+    text = "".join("\x80" if c is None else c for c in fixed_text(_parser.parse(regex, re.ASCII))).lower()
+    around = f"\x80{text}\x80"
+    return sorted({(m.group(), "\x80" not in (around[m.start()], around[m.end() + 1])) for m in re.finditer(TOKEN, text)})
+
+
 def rule_table(spark: SparkSession, list_rules=LIST_RULES, pattern_rules=PATTERN_RULES) -> DataFrame:
-    """(kind, name, action, host, path, regex, literals): rules as a table; ``literals`` are whole tokens of any fitting URL.
+    """(kind, name, action, host, path, regex, literals): rules as a table.  The last token of a path prefix may go on
+    in the URL (``/en/1`` fits ``/en/15``), so only closed ones count there, all of them whole."""
+    rows = [("list", h + p, a, h, p, None, [(t, True) for t in sorted(set(re.findall(TOKEN, h)) | set(re.findall(TOKEN + r"(?=[^a-z0-9])", p.lower())))])
+            for a, h, p in list_rules]
+    rows += [("pattern", n, "block", None, None, r, literals_of(r)) for n, r in pattern_rules]
+    return spark.createDataFrame(rows, "kind string, name string, action string, host string, path string, regex string, literals array<struct<token:string,whole:boolean>>")
+
+
+def automaton_of(words: dict):
+    """Aho-Corasick automaton of the keys, or None."""
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for word, value in words.items():
+        a.add_word(word, value)
+    a.make_automaton()
+    return a if words else None
+
+
+def open_counts(seen: DataFrame, wanted: DataFrame, block_rules: int) -> DataFrame:
+    """(token, n): how often the URLs' tokens contain each open literal; literals go to the tasks in blocks."""
+    spark = seen.sparkSession
+    table = stored(wanted.where("NOT whole").select("token").distinct(), "open-literals")
+    blocks = -(-table.count() // block_rules) or 1
+    out = spark.createDataFrame([], "token string, n long")
+    for k in range(blocks):
+        own = table.where(F.pmod(F.xxhash64("token"), F.lit(blocks)) == k).orderBy("token").toArrow()["token"].to_pylist()
+        if not own:
+            continue
+        sent = spark.sparkContext.broadcast(own)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            find = automaton_of({t: t for t in sent.value})
+            for b in batches:
+                n: dict[str, int] = {}
+                for token, count in zip(b.column("token").to_pylist(), b.column("n").to_pylist()):
+                    for t in {t for _, t in find.iter(token)}:
+                        n[t] = n.get(t, 0) + count
+                yield pa.RecordBatch.from_arrays([pa.array(n, pa.string()), pa.array(n.values(), pa.int64())], ["token", "n"])
 
-    The last token of a path prefix may go on in the URL (``/en/1`` fits ``/en/15``), so only closed ones count; a
-    pattern rule's declared token need only be a substring, so it is marked open and matched by containment."""
-    rows = [("list", h + p, a, h, p, None, sorted(set(re.findall(TOKEN, h)) | set(re.findall(TOKEN + r"(?=[^a-z0-9])", p.lower())))) for a, h, p in list_rules]
-    rows += [("pattern", n, "block", None, None, r, [t]) for n, t, r in pattern_rules]
-    return spark.createDataFrame(rows, "kind string, name string, action string, host string, path string, regex string, literals array<string>")
+        out = out.unionByName(seen.mapInArrow(run, "token string, n long"))
+    return out.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def indexed(rules: DataFrame, pages: DataFrame, url: str) -> DataFrame:
-    """Rules with ``token``: the literal that the fewest URLs hold (ties: the smaller; null: no literal)."""
+def indexed(rules: DataFrame, pages: DataFrame, url: str, block_rules: int = 100_000) -> DataFrame:
+    """Rules with ``token`` and ``whole``: the literal that the fewest URLs hold (ties: whole, the smaller; null: none)."""
     seen = pages.select(F.explode(F.array_distinct(tokens(F.col(f"`{url}`")))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    wanted = rules.select("kind", "name", "action", "host", "path", "regex", F.explode_outer("literals").alias("token"))
-    counted = wanted.join(seen, "token", "left").fillna({"n": 0})
     own = ["kind", "name", "action", "host", "path", "regex"]
-    return counted.groupBy(*own).agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+    wanted = rules.select(*own, F.explode_outer("literals").alias("l")).select(*own, "l.token", "l.whole")
+    seen = stored(seen, "url-tokens")
+    n = seen.withColumn("whole", F.lit(True)).unionByName(open_counts(seen, wanted, block_rules).withColumn("whole", F.lit(False)))
+    counted = wanted.join(n, ["token", "whole"], "left").fillna({"n": 0})
+    first = F.min(F.when(F.col("token").isNotNull(), F.struct("n", (~F.col("whole")).alias("open"), "token")))
+    return counted.groupBy(*own).agg(first.alias("l")).select(*own, F.col("l.token").alias("token"), (~F.col("l.open")).alias("whole"))
 
 
-@dataclass
 class Index:
-    """Candidate rules by token; rules under an open token are looked up by the tokens that contain it."""
+    """Candidate rules by token: a dictionary of whole tokens, an automaton of open ones."""
 
     def __init__(self, rules: list[dict]):
-        self.by: dict[str, list] = {}
         self.always: list = []
-        self.open: dict[str, list] = {}
+        self.whole: dict[str, list] = {}
+        parts: dict[str, list] = {}
         for r in rules:
             r["re"] = re.compile(r["regex"], re.ASCII) if r["regex"] else None
             if r["token"] is None:
                 self.always.append(r)
-            elif r["kind"] == "pattern":
-                self.open.setdefault(r["token"], []).append(r)
             else:
-                self.by.setdefault(r["token"], []).append(r)
-        literals = sorted(self.open, key=lambda t: (-len(t), t))
-        self.any_open = re.compile("|".join(map(re.escape, literals))) if literals else None
-        self.known: dict[str, list] = {}
-
-    def fetch(self, token: str) -> list:
-        """Rules that a token of a URL makes candidates (remembered for the latest tokens)."""
-        got = self.known.get(token)
-        if got is None:
-            got = list(self.by.get(token, ()))
-            if self.any_open and self.any_open.search(token):
-                got += [r for t, own in self.open.items() if t in token for r in own]
-            if len(self.known) > 100_000:
-                self.known.clear()
-            self.known[token] = got
-        return got
+                (self.whole if r["whole"] else parts).setdefault(r["token"], []).append(r)
+        self.open = automaton_of(parts)
 
     def candidates(self, url: str) -> list:
+        low = url.lower()
         out = list(self.always)
-        for t in dict.fromkeys(re.findall(TOKEN, url.lower())):
-            out += self.fetch(t)
+        for t in dict.fromkeys(re.findall(TOKEN, low)):
+            out += self.whole.get(t, ())
+        if self.open is not None:
+            for own in {id(own): own for _, own in self.open.iter(low)}.values():
+                out += own
         return out
 
     def judge(self, url: str | None, host: str, path: str, best: tuple, blocked: bool) -> tuple[tuple, bool]:
@@ -133,7 +183,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", block_rules
     """``pages`` in a struct ``_row``, then ``host``, ``path``, ``rule`` and ``verdict``."""
     spark = pages.sparkSession
     bounded_batches(spark)
-    table = stored(indexed(rules, pages, url), "rules")
+    table = stored(indexed(rules, pages, url, block_rules), "rules")
     blocks = -(-table.count() // block_rules) or 1
     host, path = parts(F.col(f"`{url}`"))
     out = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col(f"`{url}`").alias("_url"),
@@ -173,7 +223,7 @@ def op8_url_filter(spark, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     rules = ", ".join(f"('{h}{p}', '{a}', '{h}', '{p}')" for a, h, p in LIST_RULES)
-    patterns = " OR ".join(f"regexp_matches(coalesce(url, ''), '{r}')" for _, _, r in PATTERN_RULES)
+    patterns = " OR ".join(f"regexp_matches(coalesce(url, ''), '{r}')" for _, r in PATTERN_RULES)
     return rf"""
 WITH rules(rule, action, rule_host, rule_path) AS (VALUES {rules}),
 u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),

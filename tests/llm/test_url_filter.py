@@ -19,7 +19,7 @@ def brute(url):
             if url and "://" in url and path.startswith(p) and (host == h or host.endswith("." + h))]
     if fits:
         return host, path, min(fits)[2], min(fits)[3]
-    return host, path, None, "block" if any(re.search(r, url or "", re.ASCII) for _, _, r in u.PATTERN_RULES) else "allow"
+    return host, path, None, "block" if any(re.search(r, url or "", re.ASCII) for _, r in u.PATTERN_RULES) else "allow"
 
 
 def urls():
@@ -58,3 +58,36 @@ def test_empty_tables(spark):
     rules = u.rule_table(spark)
     assert u.judge_urls(pages, rules.limit(0)).first().verdict == "allow"
     assert u.judge_urls(pages.limit(0), rules).count() == 0
+
+
+def test_literals_are_read_off_the_expression():
+    assert u.literals_of(r"/cgi-bin/") == [("bin", True), ("cgi", True)]
+    assert u.literals_of(r"(?i)\bCasino\b") == [("casino", False)]
+    assert u.literals_of(r"/ads?(?:erver)?s?/") == [("ad", False)]
+    assert u.literals_of(r"x(ab)+c/(?:d|e)/f{2}\.g?é-h-") == [("c", False), ("f", False), ("h", True), ("xab", False)]
+    assert u.literals_of(r"(?:a|b)|c") == [] and u.literals_of(r"[^/]*") == []
+    assert u.literals_of(r"-(?=zz)a-(?!q)(?>bc)-") == [("a", True), ("bc", True)]
+
+
+def test_fifty_thousand_rules(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 6))) for _ in range(4000)]
+    lists = {(h, p): (rng.choice(["allow", "block"]), h, p) for h, p in ((f"{rng.choice(words)}.{rng.choice(['org', 'com'])}", f"/{rng.choice(words)[:rng.randint(0, 5)]}")
+                                                                         for _ in range(25_000))}
+    shapes = (r"/{}-{}/", r"(?i)\b{}{}\b", r"[?&]{}=[0-9]+&{}", r"{}(?:x|y)?/{}")
+    patterns = [(f"p{i}", rng.choice(shapes).format(rng.choice(words), rng.choice(words))) for i in range(25_000)]
+    found = [(f"http://a.{h}{p}z/", None) for _, h, p in rng.sample(list(lists.values()), 20)]
+    urls = [x for x, _ in found] + ["http://q.net/" + re.sub(r"\(\?i\)|\\b|\(\?:x\|y\)\?", "", r).replace("[?&]", "?").replace("[0-9]+", "7") for _, r in rng.sample(patterns, 20)]
+    urls += [f"http://{rng.choice(words)}.com/{rng.choice(words)}/{rng.choice(words)}" for _ in range(40)]
+    rules = u.rule_table(spark, list(lists.values()), patterns)
+    compiled = [re.compile(r, re.ASCII) for _, r in patterns]
+    expect = {}
+    for x in urls:
+        host, path = parts(x)
+        fits = [(-len(h + p), a != "block", h + p, a) for a, h, p in lists.values() if path.startswith(p) and (host == h or host.endswith("." + h))]
+        expect[x] = (min(fits)[2], min(fits)[3]) if fits else (None, "block" if any(r.search(x) for r in compiled) else "allow")
+    assert len(set(expect.values())) > 10 and sum(rule is None and v == "block" for rule, v in expect.values()) >= 20
+    got = u.judge_urls(spark.createDataFrame([(x,) for x in urls], "url string"), rules, block_rules=30_000).collect()
+    assert {r._row.url: (r.rule, r.verdict) for r in got} == expect
+    at = u.Index([r.asDict() for r in u.indexed(rules, spark.createDataFrame([(x,) for x in urls], "url string"), "url").collect()])
+    assert not at.always and max(len(at.candidates(x)) for x in urls) < 500
