@@ -5,7 +5,8 @@ Words are maximal runs of letters and marks.  A text's language is the one that
 score that share of the letters (0 to 1; ties go to the smaller language name).
 
 Defined results: null text, or text without a letter -> no span, ``und``, score 0.  Nothing learned (no labelled
-rows, empty table) -> ``und``, score 0 everywhere.  Repeated rows are each labelled; a null id is kept; other
+rows, empty table) -> ``und``, score 0 everywhere.  A label column of more than 1,000 values raises
+``ValueError``: it is not a column of languages, and the model would have no bound.  Repeated rows are each labelled; a null id is kept; other
 columns are never read.  Very long texts are scored in slices, so memory is bounded by one text and one slice.
 """
 
