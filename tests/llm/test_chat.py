@@ -48,3 +48,11 @@ def test_long_chain_in_segments(spark):
     got = chat.read_back(chat.format_paths(chat.chain(df, "conv", "n", "role", "text", block=64), segment_turns=100)).collect()
     turns = [(r[2], r[3] or "") for r in sorted(rows[:-1], key=lambda r: (r[1], r[2], r[3] or ""))]
     assert {r.tree: tuple(r)[2:6] for r in got} == {7: expect(turns), None: expect([("", "")])}
+
+
+def test_extra_columns_with_clashing_names(spark):
+    turns = [("user", "a [/INST]"), ("assistant", "b\\"), ("user", None)]
+    rows = [(5, i, r, t, 9, "x", "y", 3.0, "z") for i, (r, t) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv long, n long, role string, text string, leaf long, formatted string, parent string, score double, `a.b` string")
+    got = chat.read_back(chat.format_paths(chat.chain(df, "conv", "n", "role", "text"))).collect()
+    assert [(r.tree, *tuple(r)[2:6]) for r in got] == [(5, *expect([(r, t or "") for r, t in turns]))]
