@@ -485,7 +485,36 @@ o AS (SELECT series, min(fold) AS first_fold FROM s GROUP BY 1),
 f AS (SELECT s.series, s.fold, s."Load", (SELECT avg(p."Load") FROM s p WHERE p.series = s.series AND p.wd = s.wd AND p.hr = s.hr AND p.fold < s.fold) AS forecast
   FROM s JOIN o USING (series) WHERE s.fold >= o.first_fold + 7) """
 
+
+
+def _walk_regression(src: str, time: str, horizons: dict[str, int], group: str) -> str:
+    """Every fold's model fitted anew on all earlier rows (two lags and an intercept, by their covariances)."""
+    days = ", ".join(f"('{h}', {d})" for h, d in horizons.items())
+    det = "(v0 * v1 - c01 * c01)"
+    return f"""WITH {src},
+z AS MATERIALIZED (SELECT series, horizon, d, {time} AS t, {time} - to_days(d) AS ta, {time} - to_days(d + 7) AS tb, "Load" AS y,
+        CAST(floor(date_diff('day', DATE '1970-01-01', CAST({time} AS DATE)) / d) AS INTEGER) AS k FROM h CROSS JOIN (VALUES {days}) v(horizon, d)),
+w AS MATERIALIZED (SELECT z.*, a."Load" AS x0 FROM z JOIN h a ON a.series = z.series AND a.{time} = z.ta),
+l AS MATERIALIZED (SELECT w.*, b."Load" AS x1 FROM w JOIN h b ON b.series = w.series AND b.{time} = w.tb
+      WHERE y IS NOT NULL AND x0 IS NOT NULL AND b."Load" IS NOT NULL),
+k AS MATERIALIZED (SELECT DISTINCT series, horizon, k FROM l),
+m AS (SELECT k.series, k.horizon, k.k, avg(y) AS my, avg(x0) AS m0, avg(x1) AS m1, var_pop(x0) AS v0, var_pop(x1) AS v1,
+        covar_pop(x0, x1) AS c01, covar_pop(x0, y) AS c0, covar_pop(x1, y) AS c1
+      FROM k JOIN l p ON p.series = k.series AND p.horizon = k.horizon AND p.k < k.k GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+s AS (SELECT l.*, DATE '1970-01-01' + l.k * l.d AS fold,
+        my + (c0 * v1 - c1 * c01) / {det} * (x0 - m0) + (c1 * v0 - c0 * c01) / {det} * (x1 - m1) AS p
+      FROM l JOIN m ON m.series = l.series AND m.horizon = l.horizon AND m.k = l.k
+      WHERE v0 > 0 AND v1 > 0 AND 1 - abs(c01) / sqrt(v0 * v1) > 1e-9),
+f AS (SELECT series, horizon, fold, 'forecast' AS model, y AS "Load", p AS forecast FROM s
+      UNION ALL SELECT series, horizon, fold, 'naive' AS model, y AS "Load", x0 AS forecast FROM s) """ + _metrics("f", group)
+
+
+_DAILY_ORDERS = """h AS (SELECT o_orderpriority AS series, CAST(CAST(o_orderdate AS DATE) + INTERVAL 240 MONTH AS DATE) AS "Date",
+  sum(o_totalprice) / 1000 AS "Load" FROM orders GROUP BY 1, 2)"""
+
 ORACLES.update({
+    "ml_walk_forward_regression": _walk_regression(H, '"Timestamp"', {"day": 1, "week": 7}, "series, horizon, fold, model"),
+    "ml_walk_forward_horizons": _walk_regression(_DAILY_ORDERS, '"Date"', {"day": 1, "week": 7, "month": 30}, "series, horizon, model"),
     "pipe_features_raw": _RAW_FEATURES,
     "fcst_split_report": _SPLIT,
     "fcst_rows": _TEST_ROWS + f"SELECT series, \"Timestamp\", {r6('target')} AS \"Load_target\", true AS has_prediction FROM p WHERE part = 'test'",

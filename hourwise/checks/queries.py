@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.timefns import local_to_utc, parse_local
-from ..operators import (calendar_ops, clean, eda, fill, joins, metrics, monitor, ordered, profile, sampling,
-                         thresholds, timefeatures)
+from ..operators import (calendar_ops, clean, eda, fill, joins, metrics, monitor, ordered, profile, regression,
+                         sampling, thresholds, timefeatures)
 from ..plans import calendar_features, features, forecast
 from ..session import scratch_path
 from ..sources import files, zips
@@ -452,6 +452,21 @@ def ml_walk_forward_refit(spark, sf):
     return C.rounded(metrics.walk_forward_refit(_h(spark, sf), KEY, TS, "Load", horizon_days=1), 4)
 
 
+def ml_walk_forward_regression(spark, sf):
+    """A regression on the values one and one and a week of horizons old, refitted before every fold of a day
+    and of a week, beside the seasonal naive forecast; metrics per (series, horizon, fold, model)."""
+    f = regression.walk_forward_regression(_h(spark, sf), KEY, TS, "Load", horizons={"day": 1, "week": 7})
+    return C.rounded(regression.compare_models(f, [KEY, "horizon", "fold"]), 4)
+
+
+def ml_walk_forward_horizons(spark, sf):
+    """X9, M7 for the next day, week and month: daily order value (thousands) per priority over all years."""
+    daily = C.calendar_orders(spark, sf).groupBy(F.col("o_orderpriority").alias(KEY), "Date").agg(
+        (F.sum("o_totalprice") / 1000).alias("Load"))
+    f = regression.walk_forward_regression(daily, KEY, "Date", "Load")
+    return C.rounded(regression.compare_models(f, [KEY, "horizon"]), 4)
+
+
 def smp_split_null_ids(spark, sf):
     """M2 with missing ids (every 10th event's): every row is kept and ranked."""
     e = C.table(spark, sf, "events").select("event_id", "event_type", F.when(F.col("event_id") % 10 != 0, F.col("event_id")).alias("maybe_id"))
