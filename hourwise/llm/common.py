@@ -106,10 +106,11 @@ def _byte_values(seed: int) -> np.ndarray:
 
 
 _powers: dict[str, np.ndarray] = {}
+KEPT_POWERS = 1 << 19  # 8 MB a worker; making 4M powers takes hundredths of a second
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse, modulo 2^64 (kept per worker up to 4M, so memory stays bounded)."""
+    """The first n powers of BASE and of its inverse, modulo 2^64; a worker keeps ``KEPT_POWERS`` of them, not more."""
     if len(_powers.get("up", ())) < n:
         size = max(n, 1 << 16)
         made = []
@@ -117,7 +118,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             a = np.full(size, base, dtype=np.uint64)
             a[0] = 1
             made.append(np.multiply.accumulate(a))
-        if size > 1 << 22:
+        if size > KEPT_POWERS:
             return made[0][:n], made[1][:n]
         _powers["up"], _powers["down"] = made
     return _powers["up"][:n], _powers["down"][:n]
