@@ -204,41 +204,41 @@ def compared(batch: pa.RecordBatch, words: int, what) -> Iterator[tuple[list, li
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    def linked(i: int, x: np.ndarray, y: np.ndarray, _) -> int | None:
+    """(a, b, linked) of all pairs; linked: their full sets have 100 * intersection >= percent * union."""
+    def linked(i: int, x: np.ndarray, y: np.ndarray, _) -> tuple[int, bool]:
         if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-            return None
+            return i, False
         common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-        return i if 100 * common >= percent * (len(x) + len(y) - common) else None
+        return i, 100 * common >= percent * (len(x) + len(y) - common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, made in compared(batch, words, linked):
-                found = [i for i in made if i is not None]
-                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in found], pa.binary()), pa.array([b[i] for i in found], pa.binary())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a[i] for i, _ in made], pa.binary()), pa.array([b[i] for i, _ in made], pa.binary()), pa.array([k for _, k in made], pa.bool_())],
+                    ["a", "b", "linked"])
 
-    return with_texts(pairs, texts).mapInArrow(run, "a binary, b binary")
+    return with_texts(pairs, texts).mapInArrow(run, "a binary, b binary, linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node of the links (a, b): the least node reachable.  Alternating large-star and
-    small-star rounds, each stored in the shared folder, until every node hangs on the least node of its component."""
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
+    """(node, label) of every node of the links (a, b) but the least of each component: the least node reachable.
+    Alternating large-star and small-star steps, each round stored in the shared folder, until every node hangs on the
+    least node of its component."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "_u")
         large = both.join(least, F.col("u") == F.col("_u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large, "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "_u")
         small = large.join(least, F.col("u") == F.col("_u")).select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = stored(small.where("u != v").distinct(), "small-star")
+        edges = stored(small.where("u != v").distinct(), "stars")
         ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
             edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         if ends.groupBy("x").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 OR (up = 1 AND down > 0)").isEmpty():
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -248,10 +248,10 @@ def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, F.col("cls") == F.col("node"), "left").select(*members.columns, F.coalesce("label", "cls").alias("comp"))
 
 
-def mixed_buckets(members: DataFrame) -> DataFrame:
-    """Members of the buckets in which two components or more may still meet."""
-    split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("short").alias("any")).where("lo != hi AND any")
-    return members.join(split.select(F.col("key").alias("_key")), F.col("key") == F.col("_key"), "left_semi")
+def mixed_buckets(members: DataFrame, *more: Column) -> DataFrame:
+    """(_key, more) of the buckets in which two components or more may still meet."""
+    split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("short").alias("any"), *more).where("lo != hi AND any")
+    return split.drop("lo", "hi", "any").withColumnRenamed("key", "_key")
 
 
 def deviations(around: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -314,27 +314,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     classes = stored(classes, "classes")
     exploded = classes.select("cls", "n", F.explode("bands").alias("key"))
     shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    members = stored(exploded.join(shared, "key").select("key", "cls", "n", "c"), "members")
+    weight = F.sum("c").over(Window.partitionBy("cls"))  # a class has no more rows than bands
+    members = stored(exploded.join(shared, "key").select("key", "cls", "n", weight.alias("w"), F.lit(True).alias("short")), "members")
     release(spark)
 
     wanted = members.select(F.col("cls").alias("_cls")).distinct()
     reps = classes.join(wanted, F.col("cls") == F.col("_cls"), "left_semi").select("cls", "rep.r1", "rep.r2")
     t = F.col(f"`{text}`")
     rows_of = docs.where(t.isNotNull()).select(*[c.alias(f"_{n}") for c, n in zip(row_key(F.col(f"`{key}`"), t), ("r1", "r2"))], t.alias("text"))
-    texts = rows_of.join(reps, (F.col("_r1") == F.col("r1")) & (F.col("_r2") == F.col("r2"))).groupBy("cls").agg(F.first("text").alias("text"))
-    texts = stored(texts, "texts")
+    # one row of several equal ones, found where the join has brought them together
+    texts = rows_of.join(reps, (F.col("_r1") == F.col("r1")) & (F.col("_r2") == F.col("r2"))).groupBy("r1", "r2", "cls").agg(F.first("text").alias("text"))
+    texts = stored(texts.select("cls", "text"), "texts")
     release(spark)
 
     state = _Search(texts, words, percent)
-    weight = members.groupBy("cls").agg(F.sum("c").alias("w"))
-    members = stored(members.join(weight, "cls").select("key", "cls", "n", "w", F.lit(True).alias("short")), "weighted")
-    now = state.star(members.withColumn("comp", F.col("cls")), members)
-    if not now.isEmpty():
-        hubs = now.groupBy("key").agg(F.max(F.struct("w", "cls")).alias("l")).select(F.col("key").alias("_key"), F.col("l.cls").alias("a"))
-        around = now.join(hubs, F.col("key") == F.col("_key")).where("a != cls").select("a", F.col("cls").alias("b")).distinct()
-        fine = stored(deviations(stored(around, "around"), texts, words, percent), "deviations")
+    state.star(members)
+    around = state.around_hubs(members)
+    fine = stored(deviations(around, texts, words, percent), "deviations")
+    if not fine.isEmpty():
         fine = stored(rare_keys(fine), "rare-keys")
-        state.rest(state.star(mixed_buckets(labelled(fine, state.labels)), fine))
+        state.star(fine)
+        state.rest(fine)
     labels = state.labels
     release(spark)
 
@@ -349,43 +349,50 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 class _Search:
-    """Links and components found so far, and the pairs compared."""
+    """Components found so far, and the pairs compared."""
 
     def __init__(self, texts: DataFrame, words: int, percent: int):
         self.texts, self.words, self.percent = texts, words, percent
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
         self.tested: DataFrame | None = None
 
     def sizes(self) -> Column:
         return 100 * F.least("n", "_n") >= self.percent * F.greatest("n", "_n")
 
-    def compare(self, pairs: DataFrame) -> bool:
-        """Confirm the pairs (a, b) that are new; whether a link was found."""
-        pairs = pairs.select("a", "b").distinct()
+    def compare(self, pairs: DataFrame) -> None:
+        """Confirm the pairs (a, b) that are new; a pair that is met both ways is compared once."""
+        lo, hi = F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")
+        pairs = pairs.select("a", lo, hi).groupBy("lo", "hi").agg(F.max(F.col("a") == F.col("lo")).alias("first"))
         if self.tested is not None:
             old = self.tested.select(F.least("a", "b").alias("_lo"), F.greatest("a", "b").alias("_hi"))
-            pairs = pairs.join(old, (F.least("a", "b") == F.col("_lo")) & (F.greatest("a", "b") == F.col("_hi")), "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(confirmed(pairs, self.texts, self.words, self.percent), "links")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        if found.isEmpty():
-            return False
-        self.links = found if self.links is None else self.links.unionByName(found)
-        self.labels = stored(components(self.links), "labels")
-        return True
-
-    def star(self, now: DataFrame, members: DataFrame) -> DataFrame:
-        """Compare the members of every bucket with its hub; what is left of ``members``: the buckets that still hold
-        several components."""
-        lead = now.groupBy("key").agg(F.max(F.struct("w", "cls", "n", "comp", "short")).alias("l")).select(
-            F.col("key").alias("_key"), *[F.col(f"l.{c}").alias(f"_{c}") for c in ("cls", "n", "comp", "short")])
+            pairs = pairs.join(old, (F.col("lo") == F.col("_lo")) & (F.col("hi") == F.col("_hi")), "left_anti")
+        pairs = pairs.select(F.when(F.col("first"), F.col("lo")).otherwise(F.col("hi")).alias("a"), F.when(F.col("first"), F.col("hi")).otherwise(F.col("lo")).alias("b"))
+        done = stored(confirmed(pairs, self.texts, self.words, self.percent), "pairs")
+        self.tested = done if self.tested is None else self.tested.unionByName(done)
+        found = done.where("linked").select("a", "b")
+        if not found.isEmpty():
+            # components found before go on as stars
+            links = found if self.labels is None else found.unionByName(self.labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            self.labels = components(links)
+
+    def star(self, members: DataFrame) -> None:
+        """Compare the members of every bucket that holds several components with its hub."""
+        now = labelled(members, self.labels)
+        lead = mixed_buckets(now, F.max(F.struct("w", "cls", "n", "comp", "short")).alias("l")).select(
+            "_key", *[F.col(f"l.{c}").alias(f"_{c}") for c in ("cls", "n", "comp", "short")])
         pairs = now.join(lead, F.col("key") == F.col("_key")).where((F.col("comp") != F.col("_comp")) & (F.col("short") | F.col("_short")) & self.sizes())
         self.compare(pairs.select(F.col("_cls").alias("a"), F.col("cls").alias("b")))
-        return stored(mixed_buckets(labelled(members, self.labels)), "split-buckets")
 
-    def rest(self, now: DataFrame) -> None:
+    def around_hubs(self, members: DataFrame) -> DataFrame:
+        """(a, b): the hub and each other member of the buckets that still hold several components."""
+        now = labelled(members, self.labels)
+        hubs = mixed_buckets(now, F.max(F.struct("w", "cls")).alias("l")).select("_key", F.col("l.cls").alias("a"))
+        return now.join(hubs, F.col("key") == F.col("_key")).where("a != cls").select("a", F.col("cls").alias("b")).distinct()
+
+    def rest(self, members: DataFrame) -> None:
         """Compare what is left: pairs of different components in one bucket."""
+        now = labelled(members, self.labels)
+        now = stored(now.join(mixed_buckets(now), F.col("key") == F.col("_key"), "left_semi"), "split-buckets")
         other = now.select(*[F.col(c).alias(f"_{c}") for c in now.columns])
         p, q = 100 - self.percent, 100 + self.percent
         # -w: all deviations of a member

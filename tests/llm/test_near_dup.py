@@ -149,3 +149,40 @@ def test_families_far_from_their_hub(spark):
                     label = [a if x == b else x for x in label]
         got = {r.id: r.component_id for r in near_dup.near_duplicates(df, words=words, percent=percent).collect()}
         assert [got[i] for i in range(len(rows))] == label
+
+
+def test_a_pair_met_both_ways_is_compared_once(spark, monkeypatch):
+    x = " ".join(f"w{i}" for i in range(100))
+    texts = spark.createDataFrame([(bytes(15) + b"\1", x), (bytes(15) + b"\2", x + " end"), (bytes(15) + b"\3", "other words here")], "cls binary, text string")
+    counts = []
+    confirmed = near_dup.confirmed
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "confirmed", counted)
+    one, two, three = (bytearray(15) + bytes([i]) for i in (1, 2, 3))
+    pairs = spark.createDataFrame([(one, two), (two, one), (two, one), (three, one)], "a binary, b binary")
+    state = near_dup._Search(texts, 3, 85)
+    state.compare(pairs)
+    state.compare(pairs)
+    assert counts == [2, 0]
+    assert [(bytes(r.node), bytes(r.label)) for r in state.labels.collect()] == [(bytes(two), bytes(one))]
+
+
+def test_few_tables_are_stored_and_shuffled(spark, monkeypatch):
+    names = []
+    stored = near_dup.stored
+
+    def noted(df, name):
+        names.append(name)
+        return stored(df, name)
+
+    monkeypatch.setattr(near_dup, "stored", noted)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:190 + i])) for i in range(5)] + [(9, "quite another text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component_id for r in near_dup.near_duplicates(df, words=3, percent=85).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 9: 9}
+    assert len(names) <= 7, names  # 11 before they were merged
