@@ -58,3 +58,21 @@ def test_empty_table(spark):
     assert substring.cut(df, substring.repeated_starts(df)).count() == 0
     one = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert substring.cut(one, substring.repeated_starts(one)).select("n_bytes", "n_removed", F.length("kept")).collect() == [(0, 0, 0)]
+
+
+def test_shared_passage_of_over_fifty_words_goes_from_400_bytes_on(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows, passages = [], {}
+    for size in (394, 399, 400):
+        passages[size] = prose(80)[:size - 2] + "zz"  # ends in a letter, whatever was cut
+        assert len(passages[size].split()) > 50
+        rows += [(size, f"{prose(30)}{c}{passages[size]}{c.upper()}{prose(30)}") for c in "xy"]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring.cut(df, substring.repeated_starts(df)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        size, text = r._row.doc_id, r._row.text
+        left = text.replace(passages[size], "") if size >= 400 else text
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == (len(text), len(text) - len(left), int(size >= 400), left.encode())
