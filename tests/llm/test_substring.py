@@ -1,5 +1,7 @@
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourwise.llm import substring
@@ -76,3 +78,53 @@ def test_shared_passage_of_over_fifty_words_goes_from_400_bytes_on(spark):
         size, text = r._row.doc_id, r._row.text
         left = text.replace(passages[size], "") if size >= 400 else text
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == (len(text), len(text) - len(left), int(size >= 400), left.encode())
+
+
+def brute_shared(texts, size):
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for t in texts]
+    holders = {}
+    for i, w in enumerate(words):
+        for p in range(len(w) - size + 1):
+            holders.setdefault(tuple(w[p:p + size]), set()).add(i)
+    out = []
+    for w in words:
+        in_run = set()
+        for p in range(len(w) - size + 1):
+            if len(holders[tuple(w[p:p + size])]) > 1:
+                in_run.update(range(p, p + size))
+        out.append(len(in_run))
+    return out
+
+
+@pytest.mark.parametrize("chunk, segment", [(2 << 20, 1 << 19), (300, 7)])
+def test_words_shared_by_documents_equal_brute_force(spark, monkeypatch, chunk, segment):
+    monkeypatch.setattr(substring, "CHUNK", chunk)
+    monkeypatch.setattr(substring, "WORD_SEGMENT", segment)
+    rng = random.Random(3)
+    prose = lambda n: [rng.choice("abcdeé") * rng.randint(1, 3) for _ in range(n)]
+    shared = [prose(40), prose(25), prose(60)]
+    texts = [None, "", "a", "one two", "o " * 90, "u " * 90, "x y z " * 30, *[" ".join(prose(30))] * 3, " ".join(prose(15) * 3)]
+    for i in range(60):
+        parts = prose(rng.randint(0, 25))
+        for _ in range(rng.randint(0, 3)):
+            s, a = rng.choice(shared), rng.randint(0, 30)
+            parts += s[a:a + rng.randint(8, 50)] + prose(rng.randint(0, 4))
+        texts.append(rng.choice([" ", "\n", "\t "]).join(parts))
+    want = brute_shared(texts, 12)
+    assert sum(0 < n < len(t.split()) for t, n in zip(texts, want) if t) > 20
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = substring.cut(df, substring.repeated_starts(df, words=12, word_core=5))
+    assert {r.doc_id: r.n_shared_words for r in out.select("_row.doc_id", "n_shared_words").collect()} == dict(enumerate(want))
+
+
+def test_shared_passages_of_over_fifty_words_and_under_400_bytes_are_counted(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 5)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passages = {n: prose(n) for n in (50, 51, 59)}
+    rows = [(n, f"{prose(30)} {c}{n} {passages[n]} {n}{c} {prose(30)}") for n in passages for c in "xy"]
+    twice = prose(55)
+    rows += [(1, f"{twice} once {twice}"), (2, twice[:200]), (2, twice[:200])]  # inside one document; copies of under 51 words
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring.cut(df, substring.repeated_starts(df)).select("_row.doc_id", "n_removed", "n_shared_words").collect()
+    assert sorted(got) == sorted((n, 0, n if n > 50 else 0) for n, _ in rows)
